@@ -1,0 +1 @@
+"""Every load here is a run-to-completion batch; there are no streaming operators."""
