@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from batchloom.schemas import STAGE, WAREHOUSE
-from batchloom.sources.files import delete, exists, next_number, numbered
+from batchloom.sources.files import delete, list_names, next_number, numbered
 
 
 class Store:
@@ -37,7 +37,8 @@ class Store:
         folder = self._folder(table)
         if partition is None:
             return self._newest(folder, schema)
-        if not exists(self.spark, f"{folder}/_SUCCESS"):
+        # Partition folders appear when a write commits.
+        if not any("=" in name for name in list_names(self.spark, folder)):
             return self._empty(schema)
         return self.spark.read.schema(schema).parquet(folder).select(*schema.names)
 
