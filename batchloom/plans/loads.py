@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -26,6 +27,7 @@ class LoadOptions:
     insert_only: never touch known keys.
     keep_unmatched: an unmatched foreign key is NULL instead of leaving the row out.
     blank_extra: columns never extracted are '' instead of NULL.
+    no_manager: manager id of employees without one.
     """
 
     whole_row: bool = False
@@ -33,13 +35,14 @@ class LoadOptions:
     insert_only: bool = False
     keep_unmatched: bool = False
     blank_extra: bool = False
+    no_manager: int | None = None
 
 
 SCRIPT = LoadOptions()
 # The model way, per table.
 MODEL: dict[str, LoadOptions] = {
     "offices": LoadOptions(whole_row=True),
-    "employees": LoadOptions(whole_row=True),
+    "employees": LoadOptions(whole_row=True, no_manager=0),
     "customers": LoadOptions(whole_row=True),
     "payments": LoadOptions(insert_only=True, keep_unmatched=True),
     "orders": LoadOptions(whole_row=True, newer_only=True, blank_extra=True),
@@ -49,6 +52,9 @@ MODEL: dict[str, LoadOptions] = {
 }
 
 
+# Fixed value: the month facts without a date are stored under.
+UNDATED = dt.date(1900, 1, 1)
+
 _SOURCE_STAMPS = {"create_timestamp": "src_create_timestamp", "update_timestamp": "src_update_timestamp"}
 
 
@@ -68,7 +74,9 @@ def resolve(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], opt
         take = {ref.take: ref.alias, **{c: c for c in ref.carry}}
         rows = lookup(rows, dims[ref.table], ref.on, ref.key, take, "left")
     if entity.partition and entity.partition_from:
-        rows = rows.withColumn(entity.partition, first_of_month(entity.partition_from))
+        # Never NULL: the month also takes part in joins.
+        month = F.coalesce(first_of_month(entity.partition_from), F.lit(UNDATED))
+        rows = rows.withColumn(entity.partition, month)
     rows = rows.withColumnsRenamed({**dict(entity.renames), **_SOURCE_STAMPS})
     blank = F.lit("") if options.blank_extra else F.lit(None)
     for field in entity.extra.fields:
@@ -132,7 +140,7 @@ def load_entity(
     else:
         kept = update_rows(entity, rows, target, batch, options)
     merged = kept.unionByName(fresh)
-    return link_managers(merged) if entity is EMPLOYEES else merged
+    return link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged
 
 
 def link_managers(employees: DataFrame, none_value: int | None = None) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,15 +54,12 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
         return
     if entity.partition is None:
         merged = update_rows(entity, rows, target, batch, options).unionByName(fresh)
-        store.replace(entity.table, link_managers(merged) if entity is EMPLOYEES else merged)
+        store.replace(entity.table, link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged)
         return
     month = entity.partition
     known = matched_keys(rows, target, entity.dw_key, [month]).select(month)
     touched = [r[0] for r in known.union(fresh.select(month)).distinct().collect()]
-    in_touched = F.col(month).isin([m for m in touched if m is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(month).isNull()
-    updated = update_rows(entity, rows, target.where(in_touched), batch, options)
+    updated = update_rows(entity, rows, target.where(F.col(month).isin(touched)), batch, options)
     store.replace_partitions(entity.table, updated.unionByName(fresh))
 
 
@@ -93,20 +92,35 @@ def load_monthly(store: Store, table: str, daily_table: str, recompute, batch: B
         store.replace_partitions(table, months)
 
 
-def load_summaries(store: Store, batch: Batch) -> None:
-    orders, details, products = store.read("orders"), store.read("orderdetails"), store.read("products")
-    by_customer = summaries.daily_customer_summary(
-        orders, details, products, store.read("payments"), store.read("customers"), batch
+def load_customer_summaries(store: Store, batch: Batch) -> None:
+    days = summaries.daily_customer_summary(
+        *[store.read(t) for t in ("orders", "orderdetails", "products", "payments", "customers")], batch
     )
-    load_daily(store, "daily_customer_summary", by_customer, "dw_customer_id", batch)
-    by_product = summaries.daily_product_summary(orders, details, products, batch)
-    load_daily(store, "daily_product_summary", by_product, "dw_product_id", batch)
+    load_daily(store, "daily_customer_summary", days, "dw_customer_id", batch)
     load_monthly(
         store, "monthly_customer_summary", "daily_customer_summary", summaries.recompute_customer_months, batch
     )
+
+
+def load_product_summaries(store: Store, batch: Batch) -> None:
+    days = summaries.daily_product_summary(*[store.read(t) for t in ("orders", "orderdetails", "products")], batch)
+    load_daily(store, "daily_product_summary", days, "dw_product_id", batch)
     load_monthly(store, "monthly_product_summary", "daily_product_summary", summaries.recompute_product_months, batch)
 
 
+def _side_by_side(chains: Sequence[Sequence[Callable[[], None]]]) -> None:
+    """Run independent chains of steps as concurrent Spark jobs; the first error is raised."""
+
+    def run(chain: Sequence[Callable[[], None]]) -> None:
+        for step in chain:
+            step()
+
+    with ThreadPoolExecutor(max_workers=len(chains)) as pool:
+        running = [pool.submit(copy_context().run, run, chain) for chain in chains]
+        for done in running:
+            done.result()
+
+
 def run_batch(
     store: Store,
     landing: str,
@@ -114,22 +128,26 @@ def run_batch(
     batch: Batch,
     ended_at: dt.datetime | None = None,
 ) -> None:
-    """Run one batch. The first error stops it and leaves the batch open in the log.
+    """Run one batch. An error stops it after the steps already running and leaves the batch open in the log.
 
-    Extract and stage of the source tables are independent Spark jobs and run side by side; the
-    warehouse loads follow in dependency order.
+    Steps that do not read each other's tables run side by side; the others keep dependency order.
     """
+    def load(*tables: str) -> list[Callable[[], None]]:
+        return [partial(load_table, store, ENTITIES[t], batch) for t in tables]
+
     with scratch_scope(store.spark):
         store.replace("batch_control_log", open_batch(store.read("batch_control_log"), batch))
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            for done in [
-                pool.submit(extract_to_stage, store, landing, table, sources[table], batch) for table in STAGE
-            ]:
-                done.result()
-        for entity in ENTITIES.values():
-            load_table(store, entity, batch)
-        load_history(store, "customer_history", store.read("customers"), "dw_customer_id", "creditlimit", batch)
-        load_history(store, "product_history", store.read("products"), "dw_product_id", "msrp", batch)
-        load_summaries(store, batch)
+        _side_by_side([[partial(extract_to_stage, store, landing, t, sources[t], batch)] for t in STAGE])
+        _side_by_side([load("offices", "employees", "customers", "orders"), load("productlines", "products")])
+        _side_by_side([load("payments"), load("orderdetails")])
+        customers, products = store.read("customers"), store.read("products")
+        _side_by_side(
+            [
+                [partial(load_history, store, "customer_history", customers, "dw_customer_id", "creditlimit", batch)],
+                [partial(load_history, store, "product_history", products, "dw_product_id", "msrp", batch)],
+                [partial(load_customer_summaries, store, batch)],
+                [partial(load_product_summaries, store, batch)],
+            ]
+        )
         log = close_batch(store.read("batch_control_log"), batch, ended_at or dt.datetime.now().replace(microsecond=0))
         store.replace("batch_control_log", log)
