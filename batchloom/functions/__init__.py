@@ -6,8 +6,12 @@ from batchloom.functions.scalar import (
     day_before,
     flag,
     first_of_month,
+    from_cents,
     saturating_flag,
     stamp,
+    to_cents,
 )
 
-__all__ = ["any_flag", "conform", "day_before", "flag", "first_of_month", "saturating_flag", "stamp"]
+__all__ = [
+    "any_flag", "conform", "day_before", "flag", "first_of_month", "from_cents", "saturating_flag", "stamp", "to_cents",
+]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,16 @@ def saturating_flag(old: Column, new: Column) -> Column:
     return F.least(F.coalesce(old, F.lit(0)) + new, F.lit(1)).cast("int")
 
 
+def to_cents(amount: Column) -> Column:
+    """Money with two decimals as whole cents. Sums of BIGINT cents are exact and far cheaper than wide decimals."""
+    return (amount * F.lit(100)).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    """Whole cents back as DECIMAL(18,2)."""
+    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 def stamp(moment: dt.datetime) -> Column:
     """Run-start timestamp literal, read in the session time zone."""
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchloom.functions import flag
+from batchloom.functions import flag, from_cents
 
 KIND = "kind"
 
@@ -20,6 +20,7 @@ class Measure:
     """Output column ``name``: ``agg`` of ``source`` over the rows of one kind, 0 for the others.
 
     ``agg`` is ``sum``, ``sum0`` (a sum whose NULL is 0), ``max`` or ``present`` (1 if the kind has any row).
+    With ``cents`` the source holds whole cents and the output is money.
     """
 
     name: str
@@ -27,6 +28,7 @@ class Measure:
     type: T.DataType
     agg: str = "sum"
     source: str | None = None
+    cents: bool = False
 
 
 def _present(kind: str) -> str:
@@ -42,9 +44,9 @@ def sum_by_kind(events: DataFrame, keys: Sequence[str], measures: Sequence[Measu
     kinds = list(dict.fromkeys(m.kind for m in measures))
     aggs = [F.max(flag(F.col(KIND) == k)).alias(_present(k)) for k in kinds]
     for m in measures:
-        value = F.when(F.col(KIND) == m.kind, F.col(m.source or m.name)) if m.agg != "present" else None
         if m.agg == "present":
             continue
+        value = F.when(F.col(KIND) == m.kind, F.col(m.source or m.name))
         total = F.max(value) if m.agg == "max" else F.sum(value)
         aggs.append((F.coalesce(total, F.lit(0)) if m.agg == "sum0" else total).alias(m.name))
     return events.groupBy(*keys).agg(*aggs)
@@ -64,7 +66,7 @@ def combine_kinds(folded: DataFrame, keys: Sequence[str], measures: Sequence[Mea
         here = F.col(_present(m.kind)) == 1
         if m.agg == "present":
             return F.col(_present(m.kind))
-        value = F.col(m.name)
+        value = from_cents(F.col(m.name)) if m.cents else F.col(m.name)
         shared = F.greatest(value, F.lit(0)) if combine == "max" else F.coalesce(value, F.lit(0))
         return F.when(~here, F.lit(0)).when(alone, value).otherwise(shared)
 

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from batchloom.functions import any_flag, first_of_month, flag, saturating_flag
+from batchloom.functions import any_flag, first_of_month, flag, from_cents, saturating_flag, to_cents
 
 MONTH = "start_of_the_month_date"
 
@@ -21,7 +22,12 @@ def rollup_month(
     day: str = "summary_date",
 ) -> DataFrame:
     """One row per (month, key): sums, maxima, and 0/1 flags saying a daily column was ever positive."""
-    aggs = [F.sum(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in maxes]
+    def total(c: str) -> Column:
+        kind = daily.schema[c].dataType
+        money = isinstance(kind, T.DecimalType) and kind.scale == 2
+        return from_cents(F.sum(to_cents(F.col(c)))) if money else F.sum(c)
+
+    aggs = [total(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in maxes]
     aggs += [flag(F.max(source) > 0).alias(name) for name, source in (flags or {}).items()]
     return daily.groupBy(first_of_month(day).alias(MONTH), F.col(key)).agg(*aggs)
 

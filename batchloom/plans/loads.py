@@ -16,6 +16,7 @@ from batchloom.operators.keys import assign_keys, max_id
 from batchloom.operators.lookup import link_parent, lookup
 from batchloom.operators.merge import merge_update, new_rows, reject_null_keys, require_unique
 from batchloom.schemas import EMPLOYEES, PAYMENTS, Entity
+from batchloom.sources.files import write_scratch
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,12 @@ def resolve(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], opt
     return rows
 
 
+def resolved(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], options: LoadOptions = SCRIPT) -> DataFrame:
+    """``resolve`` stored once for the key check, the insert and the update path."""
+    rows = write_scratch(resolve(entity, stage, dims, options), f"resolved-{entity.table}")
+    return require_unique(rows, entity.dw_key)
+
+
 def _matched(entity: Entity, rows: DataFrame, path: str, options: LoadOptions) -> DataFrame:
     """Leave out rows whose foreign key must match on this path but did not."""
     if options.keep_unmatched:
@@ -133,7 +140,7 @@ def load_entity(
     options: LoadOptions = SCRIPT,
 ) -> DataFrame:
     """The warehouse table after the batch: known keys updated, new keys inserted with dense ids."""
-    rows = resolve(entity, require_unique(stage, entity.key), dims, options)
+    rows = resolved(entity, stage, dims, options)
     fresh = insert_rows(entity, rows, target, batch, options)
     if entity.append_only or options.insert_only:
         kept = target

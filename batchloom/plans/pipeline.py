@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from batchloom.operators.control import Batch, close_batch, open_batch
 from batchloom.operators.history import scd2
-from batchloom.operators.merge import matched_keys, replace_by_key, require_unique
+from batchloom.operators.merge import matched_keys, replace_by_key
 from batchloom.operators.rollup import MONTH
 from batchloom.plans import summaries
-from batchloom.plans.loads import SCRIPT, LoadOptions, insert_rows, link_managers, resolve, update_rows
+from batchloom.plans.loads import SCRIPT, LoadOptions, insert_rows, link_managers, resolved, update_rows
 from batchloom.schemas import EMPLOYEES, ENTITIES, STAGE, Entity
 from batchloom.sources.files import scratch_scope, write_scratch
 from batchloom.sources.landing import read_landing, write_landing
@@ -25,10 +25,8 @@ from batchloom.sources.store import Store
 
 
 def stage_load(store: Store, landing: str, table: str, batch: Batch, attempt: str = "newest") -> None:
-    """Replace a stage table by the landed rows of the batch, once their key is known to be unique."""
-    rows = read_landing(store.spark, landing, table, batch.date, STAGE[table], attempt)
-    store.replace_stage(table, rows)
-    require_unique(store.read_stage(table), ENTITIES[table].key)
+    """Replace a stage table by the landed rows of the batch; a file that does not parse leaves the old one."""
+    store.replace_stage(table, read_landing(store.spark, landing, table, batch.date, STAGE[table], attempt))
 
 
 def extract_to_stage(store: Store, landing: str, table: str, source: DataFrame, batch: Batch) -> None:
@@ -47,7 +45,7 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
     if stage.isEmpty():
         return
     dims = {ref.table: store.read(ref.table) for ref in entity.references}
-    rows = write_scratch(resolve(entity, stage, dims, options), f"resolved-{entity.table}")
+    rows = resolved(entity, stage, dims, options)
     fresh = insert_rows(entity, rows, target, batch, options)
     if entity.append_only or (options.insert_only and entity.partition):
         store.append(entity.table, fresh)
@@ -92,9 +90,9 @@ def load_monthly(store: Store, table: str, daily_table: str, recompute, batch: B
         store.replace_partitions(table, months)
 
 
-def load_customer_summaries(store: Store, batch: Batch) -> None:
+def load_customer_summaries(store: Store, lines: DataFrame, batch: Batch) -> None:
     days = summaries.daily_customer_summary(
-        *[store.read(t) for t in ("orders", "orderdetails", "products", "payments", "customers")], batch
+        lines, store.read("products"), store.read("payments"), store.read("customers"), batch
     )
     load_daily(store, "daily_customer_summary", days, "dw_customer_id", batch)
     load_monthly(
@@ -102,8 +100,8 @@ def load_customer_summaries(store: Store, batch: Batch) -> None:
     )
 
 
-def load_product_summaries(store: Store, batch: Batch) -> None:
-    days = summaries.daily_product_summary(*[store.read(t) for t in ("orders", "orderdetails", "products")], batch)
+def load_product_summaries(store: Store, lines: DataFrame, batch: Batch) -> None:
+    days = summaries.daily_product_summary(lines, store.read("products"), batch)
     load_daily(store, "daily_product_summary", days, "dw_product_id", batch)
     load_monthly(store, "monthly_product_summary", "daily_product_summary", summaries.recompute_product_months, batch)
 
@@ -141,12 +139,15 @@ def run_batch(
         _side_by_side([load("offices", "employees", "customers", "orders"), load("productlines", "products")])
         _side_by_side([load("payments"), load("orderdetails")])
         customers, products = store.read("customers"), store.read("products")
+        lines = write_scratch(
+            summaries.order_lines(store.read("orders"), store.read("orderdetails"), batch), "order-lines"
+        )
         _side_by_side(
             [
                 [partial(load_history, store, "customer_history", customers, "dw_customer_id", "creditlimit", batch)],
                 [partial(load_history, store, "product_history", products, "dw_product_id", "msrp", batch)],
-                [partial(load_customer_summaries, store, batch)],
-                [partial(load_product_summaries, store, batch)],
+                [partial(load_customer_summaries, store, lines, batch)],
+                [partial(load_product_summaries, store, lines, batch)],
             ]
         )
         log = close_batch(store.read("batch_control_log"), batch, ended_at or dt.datetime.now().replace(microsecond=0))

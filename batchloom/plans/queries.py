@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchloom.functions import any_flag, conform, day_before, first_of_month, flag, saturating_flag
+from batchloom.functions import any_flag, conform, day_before, first_of_month, flag, from_cents, saturating_flag, to_cents
 from batchloom.operators.branches import Measure, union_branches
 from batchloom.operators.control import Batch, close_batch, open_batch, read_control, stamp_batch
 from batchloom.operators.history import changed_keys, really_updated, scd2, scd2_close
@@ -273,11 +273,11 @@ def star_join_order_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = fixture(spark, sf_dir, "fx_orderdetails").select("ordernumber", "productcode", "quantityordered", "priceeach")
     products = fixture(spark, sf_dir, "fx_products").select("productcode", "buyprice", "msrp")
     qty = F.col("quantityordered")
-    value = {"order_amount": F.col("priceeach"), "order_cost_amount": F.col("buyprice"), "order_mrp_amount": F.col("msrp")}
+    value = {"order_amount": "priceeach", "order_cost_amount": "buyprice", "order_mrp_amount": "msrp"}
     return (
         details.join(products, "productcode")
         .groupBy("ordernumber")
-        .agg(*[F.sum(price * qty).cast("decimal(18,2)").alias(name) for name, price in value.items()])
+        .agg(*[from_cents(F.sum(to_cents(F.col(price)) * qty)).alias(name) for name, price in value.items()])
         .join(orders, "ordernumber")
     )
 
@@ -287,14 +287,9 @@ def distinct_orders_products_per_day(spark: SparkSession, sf_dir: str) -> DataFr
     orders = fixture(spark, sf_dir, "fx_orders").select("ordernumber", "orderdate")
     details = fixture(spark, sf_dir, "fx_orderdetails").select("ordernumber", "productcode")
     sold = orders.join(details, "ordernumber")
-    # Each distinct column is reduced on its own, so no row is expanded and no key meets in one task unreduced.
-    n_orders = sold.select("orderdate", "ordernumber").distinct().groupBy("orderdate").agg(
-        F.count(F.lit(1)).alias("orders")
+    return sold.groupBy("orderdate").agg(
+        F.count_distinct("ordernumber").alias("orders"), F.count_distinct("productcode").alias("products")
     )
-    n_products = sold.select("orderdate", "productcode").distinct().groupBy("orderdate").agg(
-        F.count(F.lit(1)).alias("products")
-    )
-    return n_orders.join(n_products, "orderdate")
 
 
 @query
@@ -605,14 +600,17 @@ def _facts(spark: SparkSession, sf_dir: str, batch: Batch | None = None) -> dict
     }
 
 
+def _lines(facts: dict[str, DataFrame], batch: Batch) -> DataFrame:
+    return write_scratch(summaries.order_lines(facts["orders"], facts["orderdetails"], batch), "order-lines")
+
+
 def _by_customer(facts: dict[str, DataFrame], batch: Batch, rules: summaries.DayRules) -> DataFrame:
-    return summaries.daily_customer_summary(
-        facts["orders"], facts["orderdetails"], facts["products"], facts["payments"], facts["customers"], batch, rules
-    )
+    others = [facts[t] for t in ("products", "payments", "customers")]
+    return summaries.daily_customer_summary(_lines(facts, batch), *others, batch, rules)
 
 
 def _by_product(facts: dict[str, DataFrame], batch: Batch, rules: summaries.DayRules) -> DataFrame:
-    return summaries.daily_product_summary(facts["orders"], facts["orderdetails"], facts["products"], batch, rules)
+    return summaries.daily_product_summary(_lines(facts, batch), facts["products"], batch, rules)
 
 
 @query
@@ -642,12 +640,12 @@ def branch_union_customer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("orderdate").alias("summary_date"), "customernumber", F.lit(1).alias("orders")
     )
     payments = fixture(spark, sf_dir, "fx_payments").select(
-        F.col("paymentdate").alias("summary_date"), "customernumber", "amount"
+        F.col("paymentdate").alias("summary_date"), "customernumber", to_cents(F.col("amount")).alias("cents")
     )
     measures = [
         Measure("order_count", "ordered", T.LongType(), source="orders"),
         Measure("order_apd", "ordered", T.IntegerType(), "present"),
-        Measure("payment_amount", "paid", T.DecimalType(18, 2), source="amount"),
+        Measure("payment_amount", "paid", T.DecimalType(18, 2), source="cents", cents=True),
         Measure("payment_apd", "paid", T.IntegerType(), "present"),
     ]
     return union_branches({"ordered": orders, "paid": payments}, ["summary_date", "customernumber"], measures)

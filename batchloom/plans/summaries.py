@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchloom.functions import first_of_month
+from batchloom.functions import first_of_month, to_cents
 from batchloom.operators.branches import KIND, Measure, combine_kinds, sum_by_kind
 from batchloom.operators.control import Batch
 from batchloom.operators.ranking import first_day
@@ -65,19 +65,29 @@ def _shipped(batch: Batch) -> Column:
     return _since("shippeddate", batch) & (F.col("status") == SHIPPED)
 
 
-def order_lines(orders: DataFrame, orderdetails: DataFrame, wanted: Column) -> DataFrame:
-    """Order lines of the wanted orders.
+def _from_month(df: DataFrame, month: str, batch: Batch) -> DataFrame:
+    """Skip the partitions before the batch's month when the table is stored by month."""
+    return df.where(F.col(month) >= F.lit(batch.date.replace(day=1))) if month in df.columns else df
+
+
+def order_lines(orders: DataFrame, orderdetails: DataFrame, batch: Batch) -> DataFrame:
+    """Lines of the orders placed, cancelled or shipped since the batch date, with their amount in cents.
 
     Orders are filtered before the join. When both tables carry their order month it joins the
-    key, so the detail partitions of other months are pruned at run time.
+    key, so the detail partitions of other months are pruned at run time. Both daily tables and
+    each of their groupings read these lines, so callers store them once (``write_scratch``)
+    instead of joining again for every reader.
     """
     month = [c for c in ("order_month",) if c in orders.columns and c in orderdetails.columns]
+    wanted = _since("orderdate", batch) | _since("cancelleddate", batch) | _since("shippeddate", batch)
     heads = orders.where(wanted).select(
         "dw_order_id", *month, "dw_customer_id", "orderdate", "shippeddate", "cancelleddate", "status"
     )
     lines = orderdetails.select("dw_order_id", *month, "dw_product_id", "quantityordered", "priceeach")
-    return heads.join(lines, ["dw_order_id", *month]).withColumn(
-        "amount", F.col("priceeach") * F.col("quantityordered")
+    return (
+        heads.join(lines, ["dw_order_id", *month])
+        .withColumn("cents", to_cents(F.col("priceeach")) * F.col("quantityordered"))
+        .drop(*month, "priceeach")
     )
 
 
@@ -87,13 +97,12 @@ def _events(df: DataFrame, events: dict[str, tuple[str, Column]], *keep: str) ->
         F.when(cond, F.struct(F.lit(kind).alias(KIND), F.col(day).alias("summary_date")))
         for kind, (day, cond) in events.items()
     ]
-    exploded = df.select(*keep, F.explode(F.array_compact(F.array(*structs))).alias("event"))
+    exploded = df.select(*keep, F.explode(F.array(*structs)).alias("event")).where("event is not null")
     return exploded.select("event.kind", "event.summary_date", *keep)
 
 
 def daily_customer_summary(
-    orders: DataFrame,
-    orderdetails: DataFrame,
+    lines: DataFrame,
     products: DataFrame,
     payments: DataFrame,
     customers: DataFrame,
@@ -102,16 +111,15 @@ def daily_customer_summary(
 ) -> DataFrame:
     """One row per (day, customer) with order, cancel, ship, payment and new-customer measures.
 
-    Lines are reduced per order for the counts and amounts of all three order events, and per
+    ``lines`` are the ``order_lines`` of the batch. They are reduced per order for the counts and amounts of all three order events, and per
     (day, customer, product) for the product measures, so the distinct counts become plain sums
     over pre-aggregated rows. Everything meets in a single grouping by (day, customer).
     """
     ordered, cancelled, shipped = _since("orderdate", batch), _cancelled(batch, rules), _shipped(batch)
-    lines = order_lines(orders, orderdetails, ordered | cancelled | shipped)
     customer = "dw_customer_id"
 
     per_order = lines.groupBy("dw_order_id", customer, "orderdate", "shippeddate", "cancelleddate", "status").agg(
-        F.sum("amount").alias("amount"), F.count("dw_product_id").alias("product_lines")
+        F.sum("cents").alias("cents"), F.count("dw_product_id").alias("product_lines")
     )
     order_events = _events(
         per_order,
@@ -121,7 +129,7 @@ def daily_customer_summary(
             "shipped": ("shippeddate", shipped),
         },
         customer,
-        "amount",
+        "cents",
     ).withColumn("orders", F.lit(1))
 
     # dw_product_id is only ever set by a lookup in products, so a non-NULL id always finds its product.
@@ -129,7 +137,7 @@ def daily_customer_summary(
         lines.where(ordered & F.col("dw_product_id").isNotNull())
         .groupBy(F.col("orderdate").alias("summary_date"), customer, "dw_product_id")
         .agg(
-            F.sum("amount").alias("sales"),
+            F.sum("cents").alias("sales"),
             F.sum("quantityordered").alias("qty"),
             F.count("quantityordered").alias("n_lines"),
         )
@@ -140,16 +148,17 @@ def daily_customer_summary(
         "summary_date",
         customer,
         "sales",
-        (F.col("buyprice") * F.col("qty")).alias("cost"),
-        (F.col("msrp") * F.col("qty")).alias("mrp"),
+        (to_cents(F.col("buyprice")) * F.col("qty")).alias("cost"),
+        (to_cents(F.col("msrp")) * F.col("qty")).alias("mrp"),
         F.lit(1).alias("products"),
         F.col("n_lines" if rules.count_items else "qty").alias("items"),
     )
 
     paid = (
-        payments.where(_since("paymentdate", batch))
+        _from_month(payments, "payment_month", batch)
+        .where(_since("paymentdate", batch))
         .groupBy(F.col("paymentdate").alias("summary_date"), customer)
-        .agg(F.sum("amount").alias("amount"))
+        .agg(F.sum(to_cents(F.col("amount"))).alias("cents"))
     )
     if rules.first_payment:
         first = first_day(payments, customer, "paymentdate", "first_paid")
@@ -174,19 +183,19 @@ def daily_customer_summary(
     measures = [
         Measure("order_count", "ordered", _COUNT, source="orders"),
         Measure("order_apd", "ordered", _FLAG, "present"),
-        Measure("order_amount", "ordered", MONEY_SUM, "sum0", "sales"),
-        Measure("order_cost_amount", "ordered", MONEY_SUM, source="cost"),
-        Measure("order_mrp_amount", "ordered", MONEY_SUM, source="mrp"),
+        Measure("order_amount", "ordered", MONEY_SUM, "sum0", "sales", cents=True),
+        Measure("order_cost_amount", "ordered", MONEY_SUM, source="cost", cents=True),
+        Measure("order_mrp_amount", "ordered", MONEY_SUM, source="mrp", cents=True),
         Measure("products_ordered_qty", "ordered", _COUNT, source="products"),
         Measure("products_items_qty", "ordered", _COUNT, source="items"),
         Measure("cancelled_order_count", "cancelled", _COUNT, source="orders"),
-        Measure("cancelled_order_amount", "cancelled", MONEY_SUM, source="amount"),
+        Measure("cancelled_order_amount", "cancelled", MONEY_SUM, source="cents", cents=True),
         Measure("cancelled_order_apd", "cancelled", _FLAG, "present"),
         Measure("shipped_order_count", "shipped", _COUNT, source="orders"),
-        Measure("shipped_order_amount", "shipped", MONEY_SUM, source="amount"),
+        Measure("shipped_order_amount", "shipped", MONEY_SUM, source="cents", cents=True),
         Measure("shipped_order_apd", "shipped", _FLAG, "present"),
         Measure("payment_apd", "paid", _FLAG, "present"),
-        Measure("payment_amount", "paid", MONEY_SUM, source="amount"),
+        Measure("payment_amount", "paid", MONEY_SUM, source="cents", cents=True),
         Measure("new_customer_apd", "new", _FLAG, "present"),
         Measure("new_customer_paid_apd", "paid", _FLAG, "max", "first"),
     ]
@@ -195,39 +204,38 @@ def daily_customer_summary(
 
 
 def daily_product_summary(
-    orders: DataFrame, orderdetails: DataFrame, products: DataFrame, batch: Batch, rules: DayRules = SCRIPT
+    lines: DataFrame, products: DataFrame, batch: Batch, rules: DayRules = SCRIPT
 ) -> DataFrame:
-    """One row per (day, product) with sales and cancellation measures.
+    """One row per (day, product) with sales and cancellation measures of the ``order_lines``.
 
     Quantities and sales are added up per (day, product) before the product prices are joined:
     a price is constant within the group, so quantity sums times price give the same amounts and
     a best-selling product joins one row per day.
     """
     ordered, cancelled = _since("orderdate", batch), _cancelled(batch, rules)
-    lines = order_lines(orders, orderdetails, ordered | cancelled).where(F.col("dw_product_id").isNotNull())
     # (order, product) is the key of the details, so counting lines counts orders.
     events = _events(
-        lines,
+        lines.where(F.col("dw_product_id").isNotNull()),
         {"ordered": ("orderdate", ordered), "cancelled": ("cancelleddate", cancelled)},
         "dw_product_id",
         "quantityordered",
-        "amount",
+        "cents",
     ).withColumn("orders", F.lit(1))
     keys = ["summary_date", "dw_product_id"]
     sums = [
         Measure("ordered_qty", "ordered", _COUNT, source="quantityordered"),
-        Measure("ordered_sales", "ordered", MONEY_SUM, source="amount"),
+        Measure("ordered_sales", "ordered", _COUNT, source="cents"),
         Measure("cancelled_orders", "cancelled", _COUNT, source="orders"),
         Measure("cancelled_qty", "cancelled", _COUNT, source="quantityordered"),
-        Measure("cancelled_sales", "cancelled", MONEY_SUM, source="amount"),
+        Measure("cancelled_sales", "cancelled", _COUNT, source="cents"),
     ]
     priced = sum_by_kind(events, keys, sums).join(products.select("dw_product_id", "buyprice", "msrp"), "dw_product_id")
     priced = priced.withColumns(
-        {f"{kind}_cost": F.col(f"{kind}_qty") * F.col("buyprice") for kind in ("ordered", "cancelled")}
-    ).withColumns({f"{kind}_mrp": F.col(f"{kind}_qty") * F.col("msrp") for kind in ("ordered", "cancelled")})
+        {f"{kind}_cost": F.col(f"{kind}_qty") * to_cents(F.col("buyprice")) for kind in ("ordered", "cancelled")}
+    ).withColumns({f"{kind}_mrp": F.col(f"{kind}_qty") * to_cents(F.col("msrp")) for kind in ("ordered", "cancelled")})
 
     def column(name: str, kind: str, source: str, type_: T.DataType = MONEY_SUM) -> tuple[str, Measure]:
-        return source, Measure(name, kind, type_)
+        return source, Measure(name, kind, type_, cents=type_ is MONEY_SUM)
 
     if rules.price_as_cost:
         wanted = [
