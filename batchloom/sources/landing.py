@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from batchloom.sources.files import next_number, numbered
 
-# CSV dialect. Quotes are doubled inside quoted fields, NULL is an empty field.
+# CSV dialect. Quotes are doubled inside quoted fields, NULL and
+# the empty text are both an empty field, which loads as NULL.
 _DIALECT = {
     "header": True,
     "sep": ",",
