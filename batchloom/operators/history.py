@@ -27,11 +27,15 @@ def changed_keys(
     return active.join(current, key).where(changed(F.col("new_value"), F.col("old_value"), null_safe))
 
 
+def updated_in(batch: Batch) -> Column:
+    """True on entity rows this batch touched that are updates, not first inserts, at the source."""
+    touched = (F.col("etl_batch_no") == batch.no) & (F.col("src_create_timestamp") != F.col("src_update_timestamp"))
+    return F.coalesce(touched, F.lit(False))
+
+
 def really_updated(entity: DataFrame, batch: Batch) -> DataFrame:
-    """Entity rows this batch touched that are updates, not first inserts, at the source."""
-    return entity.where(
-        (F.col("etl_batch_no") == batch.no) & (F.col("src_create_timestamp") != F.col("src_update_timestamp"))
-    )
+    """Entity rows this batch really updated."""
+    return entity.where(updated_in(batch))
 
 
 def _closing(batch: Batch) -> dict[str, Column]:
@@ -56,8 +60,11 @@ def _opening(key: str, tracked: str, batch: Batch) -> dict[str, Column]:
     }
 
 
-def _join_current(active: DataFrame, entity: DataFrame, key: str, tracked: str, how: str) -> DataFrame:
-    current = entity.select(key, F.col(tracked).alias(_NOW), F.lit(True).alias("__in_entity"))
+def _join_current(
+    active: DataFrame, entity: DataFrame, key: str, tracked: str, how: str, reopen: Column | None = None
+) -> DataFrame:
+    marks = [F.lit(True).alias("__in_entity"), (F.lit(True) if reopen is None else reopen).alias("__reopen")]
+    current = entity.select(key, F.col(tracked).alias(_NOW), *marks)
     return active.withColumn("__in_history", F.lit(True)).join(current, key, how)
 
 
@@ -79,21 +86,29 @@ def close_changed(
 
 
 def advance_active(
-    active: DataFrame, entity: DataFrame, key: str, tracked: str, batch: Batch, null_safe: bool = False
+    active: DataFrame,
+    entity: DataFrame,
+    key: str,
+    tracked: str,
+    batch: Batch,
+    null_safe: bool = False,
+    reopen: Column | None = None,
 ) -> DataFrame:
     """Active rows after the batch plus the rows it closed.
 
     One full outer join on the key does everything: an unchanged row passes through, a changed
     row comes out closed together with its successor, an entity without an active row opens one.
+    Where ``reopen``, a condition on the entity, does not hold, a changed row gets no successor yet;
+    the next batch finds the entity without an active row and opens one.
     """
-    joined = _join_current(active, entity, key, tracked, "full_outer")
+    joined = _join_current(active, entity, key, tracked, "full_outer", reopen)
     has_row, has_entity = F.col("__in_history").isNotNull(), F.col("__in_entity").isNotNull()
     differs = has_row & has_entity & changed(F.col(_NOW), F.col(tracked), null_safe)
     opening = _opening(key, tracked, batch)
     opened = [opening.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in active.schema.fields]
     versions = F.array(
         F.struct(has_row.alias("present"), *_closed_where(active, differs, batch)),
-        F.struct(((has_entity & ~has_row) | differs).alias("present"), *opened),
+        F.struct(((has_entity & ~has_row) | (differs & F.col("__reopen"))).alias("present"), *opened),
     )
     return (
         joined.select(F.explode(versions).alias("v"))
@@ -103,11 +118,17 @@ def advance_active(
 
 
 def scd2(
-    history: DataFrame, entity: DataFrame, key: str, tracked: str, batch: Batch, null_safe: bool = False
+    history: DataFrame,
+    entity: DataFrame,
+    key: str,
+    tracked: str,
+    batch: Batch,
+    null_safe: bool = False,
+    reopen: Column | None = None,
 ) -> DataFrame:
     """Close changed rows and open one active row for every entity without one; closed rows pass through."""
     is_active = F.col("dw_active_record_ind").eqNullSafe(F.lit(1))
-    advanced = advance_active(history.where(is_active), entity, key, tracked, batch, null_safe)
+    advanced = advance_active(history.where(is_active), entity, key, tracked, batch, null_safe, reopen)
     return history.where(~is_active).unionByName(advanced)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from batchloom.functions import first_of_month
 from batchloom.operators.control import Batch
-from batchloom.operators.history import scd2
+from batchloom.operators.history import scd2, updated_in
 from batchloom.operators.keys import assign_keys, max_id
 from batchloom.operators.lookup import link_parent, lookup
 from batchloom.operators.merge import merge_update, new_rows, reject_null_keys, require_unique
@@ -100,11 +100,17 @@ def _matched(entity: Entity, rows: DataFrame, path: str, options: LoadOptions) -
 
 
 def insert_rows(
-    entity: Entity, rows: DataFrame, target: DataFrame, batch: Batch, options: LoadOptions = SCRIPT
+    entity: Entity,
+    rows: DataFrame,
+    target: DataFrame,
+    batch: Batch,
+    options: LoadOptions = SCRIPT,
+    last_id: int | None = None,
 ) -> DataFrame:
-    """New-key rows, keyed after the target's highest id and stamped."""
+    """New-key rows, keyed after the target's highest id (``last_id`` if ``target`` is only a part) and stamped."""
+    start = max_id(target, entity.id_col) if last_id is None else last_id
     fresh = _matched(entity, new_rows(rows, target, entity.dw_key), "insert", options)
-    keyed = assign_keys(fresh, entity.dw_key, entity.id_col, max_id(target, entity.id_col))
+    keyed = assign_keys(fresh, entity.dw_key, entity.id_col, start)
     stamped = keyed.withColumns(
         {"dw_create_timestamp": batch.run_col, "dw_update_timestamp": F.lit(None).cast("timestamp"), **_batch_columns(batch)}
     )
@@ -169,6 +175,16 @@ def customer_history(history: DataFrame, customers: DataFrame, batch: Batch, nul
     return scd2(history, customers, "dw_customer_id", "creditlimit", batch, null_safe)
 
 
+def customer_history_model(history: DataFrame, customers: DataFrame, batch: Batch) -> DataFrame:
+    """The model way: a successor is opened at once only for customers really updated by this batch."""
+    return scd2(history, customers, "dw_customer_id", "creditlimit", batch, reopen=updated_in(batch))
+
+
+def product_history_model(history: DataFrame, products: DataFrame, batch: Batch) -> DataFrame:
+    """The model way: a changed price is closed now and its successor opened by the next batch."""
+    return scd2(history, products, "dw_product_id", "msrp", batch, reopen=F.lit(False))
+
+
 def product_history(history: DataFrame, products: DataFrame, batch: Batch, null_safe: bool = False) -> DataFrame:
     """Type-2 history of the list price."""
     return scd2(history, products, "dw_product_id", "msrp", batch, null_safe)

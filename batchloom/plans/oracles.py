@@ -495,6 +495,86 @@ oracle(
     ),
 )
 
+# --- entity loads, model way -------------------------------------------------------------------
+
+oracle(
+    "dw_employees_model",
+    "dw_employee_id employeenumber jobtitle dw_office_id dw_reporting_employee_id",
+    """select e.*, coalesce(m.dw_employee_id, 0) as dw_reporting_employee_id
+       from employees_2 e left join employees_2 m on e.reportsto = m.employeenumber""",
+    ["fx_offices", "fx_employees_s1", "fx_employees_s2"],
+    [
+        _OFFICES_K,
+        _resolved("e1", "fx_employees_s1", _TO_OFFICE, "dw_office_id"),
+        _resolved("e2", "fx_employees_s2", _TO_OFFICE, "dw_office_id"),
+        *_states(
+            "employees", "dw_employee_id", ["employeenumber"], ("e1", "e2"), ["reportsto", "jobtitle", "dw_office_id"],
+            update_if="dw_office_id is not null", insert_if="dw_office_id is not null",
+        ),
+    ],
+)
+oracle(
+    "dw_customers_model",
+    "dw_customer_id src_customernumber customername creditlimit:m dw_sales_employee_id etl_batch_no",
+    "select *, customernumber as src_customernumber from customers_2",
+    ["fx_employees", *_CUSTOMERS_12],
+    [
+        *_CUSTOMER_STATES[:3],
+        *_states(
+            "customers", "dw_customer_id", ["customernumber"], ("c1", "c2"),
+            ["customername", "creditlimit", "dw_sales_employee_id"],
+        ),
+    ],
+)
+oracle(
+    "payments_load_model",
+    "dw_payment_id checknumber paymentdate:d amount:m dw_customer_id etl_batch_no",
+    "select * from payments_2",
+    ["fx_customers_b1", *_PAYMENTS_12],
+    [
+        _once("customers", "customernumber", "dw_customer_id", "fx_customers_b1"),
+        *_PAYMENT_STATES[1:3],
+        *_states(
+            "payments", "dw_payment_id", ["checknumber"], ("p1", "p2"), [], ["paymentdate", "amount", "dw_customer_id"],
+            insert_only=True,
+        ),
+    ],
+)
+oracle(
+    "dw_products_model",
+    "dw_product_id src_productcode productdescription msrp:m dw_product_line_id etl_batch_no",
+    """select p.*, p.productcode as src_productcode, '' as productdescription from products_2 p""",
+    ["fx_productlines_s1", "fx_products_s1", "fx_products_s2"],
+    [
+        _once("productlines", "productline", "dw_product_line_id", "fx_productlines_s1"),
+        _resolved("pr1", "fx_products_s1", _TO_LINE, "dw_product_line_id"),
+        _resolved("pr2", "fx_products_s2", _TO_LINE, "dw_product_line_id"),
+        *_states("products", "dw_product_id", ["productcode"], ("pr1", "pr2"), ["msrp", "dw_product_line_id"]),
+    ],
+)
+oracle(
+    "orderdetails_load_model",
+    "dw_orderdetail_id src_ordernumber src_productcode quantityordered dw_order_id dw_product_id etl_batch_no",
+    "select *, ordernumber as src_ordernumber, productcode as src_productcode from orderdetails_2",
+    ["fx_orders", "fx_products_s1", *_DETAILS_12],
+    [
+        _once("orders", "ordernumber", "dw_order_id", "fx_orders"),
+        _once("products", "productcode", "dw_product_id", "fx_products_s1"),
+        *[
+            _resolved(
+                f"d{n}", f"fx_orderdetails_b{n}",
+                "left join orders_k o on s.ordernumber = o.ordernumber left join products_k p on s.productcode = p.productcode",
+                "dw_order_id, dw_product_id",
+            )
+            for n in (1, 2)
+        ],
+        *_states(
+            "orderdetails", "dw_orderdetail_id", ["ordernumber", "productcode"], ("d1", "d2"), [],
+            ["quantityordered", "dw_order_id", "dw_product_id"], insert_only=True,
+        ),
+    ],
+)
+
 # --- type-2 history ----------------------------------------------------------------------------
 
 
@@ -508,7 +588,7 @@ _LIMITS = [
 ]
 
 
-def _history(key: str, tracked: str, differs: str, opens: bool = True, null_safe_close: str = "") -> str:
+def _history(key: str, tracked: str, differs: str, opens: bool = True) -> str:
     """History after batch 2: untouched, closed, reopened and first versions."""
     sql = f"""
         select was.{key}, was.tracked as {tracked}, date '{_B1}' as effective_from_date,
@@ -569,19 +649,39 @@ oracle(
     _CUSTOMERS_12,
     _LIMITS,
 )
+_PRICES = [
+    ("was", "select productcode, row_number() over (order by productcode) as dw_product_id, msrp as tracked from fx_products"),
+    (
+        "now",
+        """select was.dw_product_id, coalesce(b.msrp, was.tracked) as tracked
+           from was left join fx_products_b2 b on was.productcode = b.productcode""",
+    ),
+]
 oracle(
     "product_history_scd2",
     f"dw_product_id msrp:m {_HISTORY_COLUMNS}",
     _history("dw_product_id", "msrp", _UNSAFE),
     ["fx_products", "fx_products_b2"],
-    [
-        ("was", "select productcode, row_number() over (order by productcode) as dw_product_id, msrp as tracked from fx_products"),
-        (
-            "now",
-            """select was.dw_product_id, coalesce(b.msrp, was.tracked) as tracked
-               from was left join fx_products_b2 b on was.productcode = b.productcode""",
-        ),
-    ],
+    _PRICES,
+)
+
+oracle(
+    "customer_history_model",
+    f"dw_customer_id creditlimit:m {_HISTORY_COLUMNS}",
+    _history("dw_customer_id", "creditlimit", _UNSAFE),
+    _CUSTOMERS_12,
+    _LIMITS,
+)
+oracle(
+    "product_history_model",
+    f"dw_product_id msrp:m {_HISTORY_COLUMNS}",
+    _history("dw_product_id", "msrp", _UNSAFE, opens=False)
+    + f"""
+        union all
+        select dw_product_id, now.tracked, date '{_B2}' + 1, null, 1, 3, null, null, timestamp '{_RUN2}' + interval 1 day, null
+        from now join was using (dw_product_id) where {_UNSAFE}""",
+    ["fx_products", "fx_products_b2"],
+    _PRICES,
 )
 
 # --- summaries ---------------------------------------------------------------------------------

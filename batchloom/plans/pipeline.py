@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from batchloom.operators.control import Batch, close_batch, open_batch
 from batchloom.operators.history import scd2
+from batchloom.operators.keys import max_id
 from batchloom.operators.merge import matched_keys, replace_by_key
 from batchloom.operators.rollup import MONTH
 from batchloom.plans import summaries
@@ -46,7 +47,12 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
         return
     dims = {ref.table: store.read(ref.table) for ref in entity.references}
     rows = resolved(entity, stage, dims, options)
-    fresh = insert_rows(entity, rows, target, batch, options)
+    month = entity.partition
+    if month and not entity.partition_from and not options.keep_unmatched:
+        # The month comes from the parent row, so a known key can only be in the months of the batch.
+        months = [r[0] for r in rows.select(month).distinct().collect()]
+        target = target.where(F.col(month).isin([m for m in months if m is not None]))
+    fresh = insert_rows(entity, rows, target, batch, options, max_id(store.read(entity.table), entity.id_col))
     if entity.append_only or (options.insert_only and entity.partition):
         store.append(entity.table, fresh)
         return
@@ -54,7 +60,6 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
         merged = update_rows(entity, rows, target, batch, options).unionByName(fresh)
         store.replace(entity.table, link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged)
         return
-    month = entity.partition
     known = matched_keys(rows, target, entity.dw_key, [month]).select(month)
     touched = [r[0] for r in known.union(fresh.select(month)).distinct().collect()]
     updated = update_rows(entity, rows, target.where(F.col(month).isin(touched)), batch, options)

@@ -469,6 +469,20 @@ def payments_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def payments_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of batch 1 only, so payments of later customers are kept without a customer id."""
+    customers = write_scratch(
+        loads.load_entity(
+            CUSTOMERS, staged(spark, sf_dir, "customers", BATCH_1), _empty_table(spark, CUSTOMERS),
+            {"employees": _empty_table(spark, EMPLOYEES)}, BATCH_1,
+        ),
+        "customers",
+    )
+    table = _two_batches(spark, sf_dir, PAYMENTS, lambda batch: {"customers": customers}, options=loads.MODEL["payments"])
+    return table.select("dw_payment_id", "checknumber", "paymentdate", "amount", "dw_customer_id", "etl_batch_no")
+
+
 @query
 def dw_productlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_batches(spark, sf_dir, PRODUCTLINES, split="s").select("dw_product_line_id", "productline", *_AUDIT)
@@ -496,6 +510,57 @@ def orderdetails_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dw_employees_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offices = _once(spark, sf_dir, OFFICES)
+    table = _two_batches(
+        spark, sf_dir, EMPLOYEES, lambda batch: {"offices": offices}, split="s", options=loads.MODEL["employees"]
+    )
+    return table.select("dw_employee_id", "employeenumber", "jobtitle", "dw_office_id", "dw_reporting_employee_id")
+
+
+@query
+def dw_customers_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    employees = _once(spark, sf_dir, EMPLOYEES, {"offices": _once(spark, sf_dir, OFFICES)})
+    table = _two_batches(
+        spark, sf_dir, CUSTOMERS, lambda batch: {"employees": employees}, options=loads.MODEL["customers"]
+    )
+    return table.select("dw_customer_id", "src_customernumber", "customername", "creditlimit", "dw_sales_employee_id", "etl_batch_no")
+
+
+@query
+def dw_products_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product lines of the first split only: later lines give products without a line id."""
+    lines = write_scratch(
+        loads.load_entity(
+            PRODUCTLINES, staged(spark, sf_dir, "productlines", BATCH_1, "s"), _empty_table(spark, PRODUCTLINES), {}, BATCH_1
+        ),
+        "productlines",
+    )
+    table = _two_batches(
+        spark, sf_dir, PRODUCTS, lambda batch: {"productlines": lines}, split="s", options=loads.MODEL["products"]
+    )
+    return table.select("dw_product_id", "src_productcode", "productdescription", "msrp", "dw_product_line_id", "etl_batch_no")
+
+
+@query
+def orderdetails_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known lines are left alone; lines of products not loaded yet are kept without a product id."""
+    lines = _once(spark, sf_dir, PRODUCTLINES)
+    products = write_scratch(
+        loads.load_entity(
+            PRODUCTS, staged(spark, sf_dir, "products", BATCH_1, "s"), _empty_table(spark, PRODUCTS), {"productlines": lines}, BATCH_1
+        ),
+        "products",
+    )
+    dims = {"products": products, "orders": _once(spark, sf_dir, ORDERS, {"customers": _dim_customers(spark, sf_dir)})}
+    table = _two_batches(spark, sf_dir, ORDERDETAILS, lambda batch: dims, options=loads.MODEL["orderdetails"])
+    return table.select(
+        "dw_orderdetail_id", "src_ordernumber", "src_productcode", "quantityordered", "dw_order_id", "dw_product_id",
+        "etl_batch_no",
+    )
+
+
 # --- type-2 history ----------------------------------------------------------------------------
 
 
@@ -577,6 +642,23 @@ def product_history_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.product_history(history, second, BATCH_2).select("dw_product_id", "msrp", *_HISTORY)
 
 
+@query
+def customer_history_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _limits(spark, sf_dir)
+    history = _history_of("customer_history", first, "dw_customer_id", "creditlimit")
+    return loads.customer_history_model(history, second, BATCH_2).select("dw_customer_id", "creditlimit", *_HISTORY)
+
+
+@query
+def product_history_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 2 closes the changed prices; a third batch without changes opens their successors."""
+    first, second = _prices(spark, sf_dir)
+    history = _history_of("product_history", first, "dw_product_id", "msrp")
+    closed = loads.product_history_model(history, second, BATCH_2)
+    third = Batch(3, BATCH_2.date + dt.timedelta(days=1), BATCH_2.run_at + dt.timedelta(days=1))
+    return loads.product_history_model(closed, second, third).select("dw_product_id", "msrp", *_HISTORY)
+
+
 # --- summaries ---------------------------------------------------------------------------------
 
 
