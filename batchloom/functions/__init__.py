@@ -4,8 +4,9 @@ from batchloom.functions.scalar import (
     any_flag,
     conform,
     day_before,
-    flag,
+    empty_table,
     first_of_month,
+    flag,
     from_cents,
     saturating_flag,
     stamp,
@@ -13,5 +14,6 @@ from batchloom.functions.scalar import (
 )
 
 __all__ = [
-    "any_flag", "conform", "day_before", "flag", "first_of_month", "from_cents", "saturating_flag", "stamp", "to_cents",
+    "any_flag", "conform", "day_before", "empty_table", "first_of_month", "flag", "from_cents", "saturating_flag",
+    "stamp", "to_cents",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,3 +59,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of the schema; the optimizer sees an empty relation."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*none)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,14 @@ def assign_keys(rows: DataFrame, natural_key: Sequence[str], id_col: str, start:
     )
     stored = write_scratch(ordered, "numbered")
     sizes = sorted(stored.groupBy(_PART).count().collect())
-    totals = [start, *accumulate((n for _, n in sizes), initial=start)][1:]
-    bases = stored.sparkSession.createDataFrame(
-        [(part, base) for (part, _), base in zip(sizes, totals)], f"{_PART} int, {_BASE} bigint"
+    bases_before = list(accumulate((n for _, n in sizes), initial=start))[:-1]
+    table = pa.table(
+        {
+            _PART: pa.array([part for part, _ in sizes], pa.int32()),
+            _BASE: pa.array(bases_before, pa.int64()),
+        }
     )
+    bases = stored.sparkSession.createDataFrame(table)
     # One row per shuffle partition, so the broadcast never grows with the data.
     numbered = stored.join(F.broadcast(bases), _PART)
     return numbered.select(

@@ -15,7 +15,6 @@ from batchloom.operators.control import Batch, close_batch, open_batch
 from batchloom.operators.history import scd2
 from batchloom.operators.keys import max_id
 from batchloom.operators.merge import matched_keys, replace_by_key
-from batchloom.operators.rollup import MONTH
 from batchloom.plans import summaries
 from batchloom.plans.loads import SCRIPT, LoadOptions, insert_rows, link_managers, resolved, update_rows
 from batchloom.schemas import EMPLOYEES, ENTITIES, STAGE, Entity
@@ -47,12 +46,13 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
         return
     dims = {ref.table: store.read(ref.table) for ref in entity.references}
     rows = resolved(entity, stage, dims, options)
+    last_id = max_id(target, entity.id_col)
     month = entity.partition
     if month and not entity.partition_from and not options.keep_unmatched:
         # The month comes from the parent row, so a known key can only be in the months of the batch.
         months = [r[0] for r in rows.select(month).distinct().collect()]
         target = target.where(F.col(month).isin([m for m in months if m is not None]))
-    fresh = insert_rows(entity, rows, target, batch, options, max_id(store.read(entity.table), entity.id_col))
+    fresh = insert_rows(entity, rows, target, batch, options, last_id)
     if entity.append_only or (options.insert_only and entity.partition):
         store.append(entity.table, fresh)
         return
@@ -73,31 +73,25 @@ def load_history(store: Store, table: str, entity: DataFrame, key: str, tracked:
     store.replace_partitions(table, scd2(open_part, entity, key, tracked, batch))
 
 
-def _month_start(batch: Batch) -> dt.date:
-    return batch.date.replace(day=1)
-
-
 def load_daily(store: Store, table: str, daily: DataFrame, key: str, batch: Batch) -> None:
     """Put the batch's days into the months they fall in; equal (day, key) rows are replaced."""
     fresh = write_scratch(summaries.finish_daily(daily, batch), table)
     if fresh.isEmpty():
         return
-    kept = store.read(table).where(F.col("summary_month") >= F.lit(_month_start(batch)))
+    kept = store.read(table, since=batch.date)
     store.replace_partitions(table, replace_by_key(kept, fresh, ["summary_date", key]))
 
 
 def load_monthly(store: Store, table: str, daily_table: str, recompute, batch: Batch) -> None:
     """Recompute the months from the batch's month on, so a repeated batch changes nothing."""
-    start = F.lit(_month_start(batch))
-    daily = store.read(daily_table).where(F.col("summary_month") >= start)
-    months = recompute(daily, store.read(table).where(F.col(MONTH) >= start), batch)
+    months = recompute(store.read(daily_table, since=batch.date), store.read(table, since=batch.date), batch)
     if not months.isEmpty():
         store.replace_partitions(table, months)
 
 
 def load_customer_summaries(store: Store, lines: DataFrame, batch: Batch) -> None:
     days = summaries.daily_customer_summary(
-        lines, store.read("products"), store.read("payments"), store.read("customers"), batch
+        lines, store.read("products"), store.read("payments", since=batch.date), store.read("customers"), batch
     )
     load_daily(store, "daily_customer_summary", days, "dw_customer_id", batch)
     load_monthly(

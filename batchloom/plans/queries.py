@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from batchloom.functions import any_flag, conform, day_before, first_of_month, flag, from_cents, saturating_flag, to_cents
+from batchloom.functions import any_flag, conform, day_before, empty_table, first_of_month, flag, from_cents, saturating_flag, to_cents
 from batchloom.operators.branches import Measure, union_branches
 from batchloom.operators.control import Batch, close_batch, open_batch, read_control, stamp_batch
 from batchloom.operators.history import changed_keys, really_updated, scd2, scd2_close
@@ -75,12 +75,8 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def _empty_table(spark: SparkSession, entity: Entity) -> DataFrame:
-    return _empty(spark, entity.schema)
+    return empty_table(spark, entity.schema)
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -586,7 +582,7 @@ _HISTORY = [
 
 
 def _history_of(table: str, first: DataFrame, key: str, tracked: str) -> DataFrame:
-    return scd2(_empty(first.sparkSession, WAREHOUSE[table][0]), first, key, tracked, BATCH_1)
+    return scd2(empty_table(first.sparkSession, WAREHOUSE[table][0]), first, key, tracked, BATCH_1)
 
 
 @query
@@ -748,7 +744,7 @@ def _two_month_batches(spark: SparkSession, sf_dir: str, daily, rules, step, sch
     first, both = _two_days(spark, sf_dir, daily, rules)
     key = schema.names[0]
     id_type = first.schema[key].dataType
-    target = _empty(spark, T.StructType([T.StructField(f.name, id_type if f.name == key else f.dataType) for f in schema]))
+    target = empty_table(spark, T.StructType([T.StructField(f.name, id_type if f.name == key else f.dataType) for f in schema]))
     after_first = write_scratch(step(target, first, BATCH_1), "monthly")
     after = step(after_first, both, BATCH_2)
     return after.select(*[c for c in after.columns if c not in _MONTH_AUDIT])

@@ -7,9 +7,12 @@ the partitions a batch touches are replaced.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from batchloom.functions import empty_table
 from batchloom.schemas import STAGE, WAREHOUSE
 from batchloom.sources.files import delete, list_names, next_number, numbered
 
@@ -22,25 +25,31 @@ class Store:
     def _folder(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 
-    def _empty(self, schema: T.StructType) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
-
     def _newest(self, folder: str, schema: T.StructType) -> DataFrame:
         versions = numbered(self.spark, folder, "v=")
         if not versions:
-            return self._empty(schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(f"{folder}/v={versions[-1]}")
 
-    def read(self, table: str) -> DataFrame:
-        """Current state; an empty table with the declared schema before the first publish."""
+    def read(self, table: str, since: dt.date | None = None) -> DataFrame:
+        """Current state; an empty table with the declared schema before the first publish.
+
+        ``since`` limits a table stored by month to the months from that day's on, and only their
+        folders are listed.
+        """
         schema, partition = WAREHOUSE[table]
         folder = self._folder(table)
         if partition is None:
             return self._newest(folder, schema)
         # Partition folders appear when a write commits.
-        if not any("=" in name for name in list_names(self.spark, folder)):
-            return self._empty(schema)
-        return self.spark.read.schema(schema).parquet(folder).select(*schema.names)
+        parts = [name for name in list_names(self.spark, folder) if name.startswith(f"{partition}=")]
+        if since is not None:
+            parts = [name for name in parts if name.removeprefix(f"{partition}=") >= str(since.replace(day=1))]
+        if not parts:
+            return empty_table(self.spark, schema)
+        paths = [folder] if since is None else [f"{folder}/{name}" for name in parts]
+        found = self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+        return found.select(*schema.names)
 
     def _publish(self, df: DataFrame, folder: str) -> None:
         path = f"{folder}/v={next_number(self.spark, folder, 'v=')}"
