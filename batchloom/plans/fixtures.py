@@ -10,6 +10,7 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from batchloom.functions import conform
 from batchloom.operators.control import Batch
@@ -168,7 +169,7 @@ def staged(spark: SparkSession, sf_dir: str, table: str, batch: Batch | None = N
     if name not in VIEWS:
         # Tables without a batch-1 view are complete in batch 1; without a batch-2 view, unchanged.
         base = fixture(spark, sf_dir, f"fx_{table}")
-        return conform(base if batch.no == 1 else base.limit(0), STAGE[table])
+        return conform(base if batch.no == 1 else base.where(F.lit(False)), STAGE[table])
     return conform(fixture(spark, sf_dir, name), STAGE[table])
 
 

@@ -120,3 +120,25 @@ def test_rank_and_lookup(tables, joins):
 def test_hot_repeated_key_is_reported(tables):
     with pytest.raises(ValueError):
         require_unique(tables["payments"], ["dw_customer_id"])
+
+
+def test_hot_foreign_key_is_split_over_tasks(spark, tables):
+    """With thresholds scaled down to the test data, the partition of the hot key is read by several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        dim = tables["customers"].select(F.col("dw_customer_id").alias("key"), (F.col("dw_customer_id") + 1).alias("id"))
+        found = lookup(tables["payments"], dim, "dw_customer_id", "key", {"id": "found"}, "left")
+        got = found.collect()
+        assert len(got) == N and all(r.found == r.dw_customer_id + 1 for r in got)
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
