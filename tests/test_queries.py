@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from batchloom.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem documents".split()
 
@@ -22,10 +23,10 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     result = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
