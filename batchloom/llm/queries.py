@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
+from batchloom.llm.substring_dedup import remove_repeated_words
+from batchloom.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +36,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), byte_level_tokenizer())
 
 
+@_query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(_table(spark, sf_dir, "documents"), 50)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeated_words(_table(spark, sf_dir, "documents"), 20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))

@@ -64,6 +64,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A fixed random 64-bit value for each byte."""
+    return _BYTE[data]
+
+
 class Words:
     """The words of several texts, one after another.
 
