@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
+from batchloom.llm.simhash_dedup import near_duplicates
 from batchloom.llm.substring_dedup import remove_repeated_words
 from batchloom.llm.suffix_dedup import remove_repeats
 
@@ -51,3 +52,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), 3, 2)
