@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
+from batchloom.llm.rule_ensemble import score_quality
 from batchloom.llm.simhash_dedup import near_duplicates
 from batchloom.llm.substring_dedup import remove_repeated_words
 from batchloom.llm.suffix_dedup import remove_repeats
@@ -37,6 +38,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), byte_level_tokenizer())
 
 
+@_query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(_table(spark, sf_dir, "documents"), 50)
