@@ -1,3 +1,29 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat_formatting": r"""
+with every as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), stepped as (
+    select *, lag(role) over (partition by conv_id order by turn, role, text) as before,
+           lead(role) over (partition by conv_id order by turn, role, text) as after
+    from every
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('### ') + length(': ') + length('</turn>' || chr(10)) + length(text)
+           + length(text) - length(replace(replace(replace(text, '\', ''), '#', ''), '<', ''))
+           + case role when 'system' then length('System') when 'user' then length('User') when 'assistant' then length('Assistant')
+             else 1 + 2 * length(role) - length(replace(replace(replace(replace(role, '\', ''), '#', ''), '<', ''), ':', '')) end
+       )::bigint as formatted_chars,
+       bool_and(case when before is null then role in ('system', 'user')
+                     when before in ('system', 'assistant') then role = 'user'
+                     when before = 'user' then role = 'assistant' else false end
+                and (after is not null or role = 'assistant')) as valid
+from stepped group by conv_id
+""",
+}

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchloom.llm.chat import digests, format_chat
+from batchloom.llm.decontamination import find_leaks
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
 from batchloom.llm.rule_ensemble import score_quality
@@ -38,11 +40,29 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), byte_level_tokenizer())
 
 
+@_query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return digests(format_chat(rows))
+
+
 @_query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(_table(spark, sf_dir, "documents"), 50)
