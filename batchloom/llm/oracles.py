@@ -1,6 +1,15 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
 ORACLES: dict[str, str] = {
+    "op2_warc": r"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html) as payload_bytes, sha256(html) as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest) as first_page from d)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and first_page < page_id then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and first_page < page_id then first_page end as refers_to
+from f
+""",
     "op3_chat_formatting": r"""
 with every as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

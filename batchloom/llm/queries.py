@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchloom.llm.archives import archive_pages
 from batchloom.llm.chat import digests, format_chat
 from batchloom.llm.decontamination import find_leaks
+from batchloom.llm.lattice import score_texts
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
 from batchloom.llm.rule_ensemble import score_quality
@@ -40,6 +42,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), byte_level_tokenizer())
 
 
+@_query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages")).drop("record_id")
+
+
 @_query
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
@@ -58,6 +65,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return score_texts(_table(spark, sf_dir, "documents"), str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 @_query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
