@@ -7,7 +7,7 @@ statistic is worked out only for texts that got so far. The order changes the co
 reported, never the verdict: a text is kept if no rule rejects it.
 
 Null texts count as empty; texts without words are rejected by ``few_words``. A null ``doc_id`` stays null. Repeated rows
-are judged one by one, an empty table gives no rows, other columns of the input are not read.
+are judged one by one, an empty table gives no rows, other columns are read only if they are named in ``keep``.
 """
 
 from __future__ import annotations
@@ -96,12 +96,14 @@ def judge(texts: Texts, rules) -> list[str | None]:
     return failed
 
 
-def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000) -> DataFrame:
+def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: base statistics, ``base_failed``, ``kept`` and the rule that rejected it.
 
-    Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_rule.
+    Columns: doc_id, those of ``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_rule.
     """
     cascade = ordered(rules, measure(docs, rules, sample_rows))
+    carried = ["doc_id", *[c for c in keep if c != "doc_id"]]
+    source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +117,7 @@ def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000) -> Data
                 failed[~base_failed] = judge(texts.take(~base_failed), cascade)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
+                        *[part.column(c) for c in carried],
                         pa.array(texts.n_words),
                         pa.array(texts.word_chars),
                         pa.array(texts.count_bytes(SYMBOLS)),
@@ -125,11 +127,10 @@ def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000) -> Data
                         pa.array([f is None for f in failed], pa.bool_()),
                         pa.array(list(failed), pa.string()),
                     ],
-                    ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rule"],
+                    [*carried, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rule"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        apply,
-        "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-        "base_failed boolean, kept boolean, failed_rule string",
-    )
+    schema = source.select(*carried).schema
+    for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"):
+        schema = schema.add(name, "long")
+    return source.mapInArrow(apply, schema.add("base_failed", "boolean").add("kept", "boolean").add("failed_rule", "string"))

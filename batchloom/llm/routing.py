@@ -1,6 +1,6 @@
 """Questions and answers between chunks of documents and buckets of keys.
 
-Documents are packed into chunks, a compressed row of about a megabyte of text each, and dealt out by chunk once. A chunk
+Documents are packed into chunks, a compressed row of about a megabyte of text each, and dealt out by chunk at most once. A chunk
 asks each bucket about its keys, all keys of one bucket in one compressed row; a key that occurs often in a chunk is asked
 about once, so the size of a group in a bucket follows the number of chunks and not the number of documents. A bucket
 gathers what was asked and answers every chunk by itself. All rounds read the same exchange of chunks, and nothing passes
@@ -50,7 +50,7 @@ def chunk_size(df: DataFrame) -> int:
 
 
 def chunked(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The documents as rows (chunk, data), dealt out by chunk; ``columns`` are kept and must have ``doc_id`` and ``text``."""
+    """The documents as rows (chunk, data); ``columns`` are kept and must have ``doc_id`` and ``text``."""
     limit = chunk_size(docs)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +79,7 @@ def chunked(docs: DataFrame, columns: list[str]) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select(*columns).mapInArrow(write, "chunk bigint, data binary").repartition("chunk")
+    return docs.select(*columns).mapInArrow(write, "chunk bigint, data binary")
 
 
 def opened(data: bytes) -> pa.Table:

@@ -86,7 +86,7 @@ def remove_repeated_words(docs: DataFrame, size: int = 20, keep: tuple[str, ...]
     """One row per document: doc_id, the columns of ``keep``, n_words, n_removed and the kept words as ``kept_text``."""
     gram = min(GRAM, max(1, size // 2))
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
-    chunks = chunked(source, source.columns)
+    chunks = chunked(source, source.columns).repartition("chunk")
     buckets = bucket_count(chunks)
     columns = ["doc_id", *[c for c in keep if c != "doc_id"]]
 

@@ -86,7 +86,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, keep: tuple[str, ...] = (),
     """One row per document: doc_id, the columns of ``keep``, n_bytes, n_removed, n_spans and the remaining bytes ``kept``."""
     gram = min(GRAM, max(1, size // 2))
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
-    chunks = chunked(source, source.columns)
+    chunks = chunked(source, source.columns).repartition("chunk")
     buckets = bucket_count(chunks)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

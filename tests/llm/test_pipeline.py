@@ -1,0 +1,76 @@
+"""Every stage of the corpus pipeline against brute force on its own input."""
+
+import pytest
+from test_decontamination import brute as brute_leaks
+from test_packing import check
+from test_quality_rules import plain as plain_rules
+from test_repeats import brute_words
+from test_simhash import plain_components
+
+import corpus_pipeline
+from batchloom.llm.quality_rules import quality_rules
+from batchloom.llm.queries import byte_level_tokenizer
+from batchloom.llm.tokens import Encoder
+from batchloom.sources.files import write_scratch
+
+
+@pytest.fixture(scope="module")
+def tables(spark, sf_dir):
+    """The input and what every stage gave."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(write_scratch(stage(spark, out[-1], sf_dir), name))
+    return [t.collect() for t in out]
+
+
+def test_columns(spark, tables):
+    for rows in tables[:-1]:
+        assert rows and rows[0].__fields__ == corpus_pipeline.COLUMNS
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "substring_dedup", "benchmark_decontamination", "best_fit_packing"]
+
+
+def test_quality(spark, sf_dir, tables):
+    verdict = {r.doc_id: r.kept for r in quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    assert sorted(tables[1]) == sorted(r for r in tables[0] if verdict[r.doc_id])
+    assert not any(plain_rules(r.text)[-1] for r in tables[1])
+    assert len(tables[1]) > 0.7 * len(tables[0])
+
+
+def test_near_dedup(tables):
+    kept = {d for d, _, c in plain_components([(r.doc_id, r.text) for r in tables[1]]) if d == c}
+    assert sorted(tables[2]) == sorted(r for r in tables[1] if r.doc_id in kept)
+    assert len(tables[2]) < len(tables[1])
+
+
+def test_substring_dedup(tables):
+    found = {d: (removed, text.decode()) for d, _, removed, text in brute_words([(r.doc_id, r.text.encode()) for r in tables[2]], 20)}
+    before = {r.doc_id: r for r in tables[2]}
+    assert {r.doc_id for r in tables[3]} == set(before)
+    for r in tables[3]:
+        removed, text = found[r.doc_id]
+        assert r.text == (text if removed else before[r.doc_id].text)
+        assert r.n_chars == (len(text) if removed else before[r.doc_id].n_chars)
+    assert any(removed for removed, _ in found.values())
+
+
+def test_decontamination(spark, sf_dir, tables):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    leaks = {d for d, *_ in brute_leaks([(r.doc_id, r.text) for r in tables[3]], items)[0]}
+    assert leaks and sorted(tables[4]) == sorted(r for r in tables[3] if r.doc_id not in leaks)
+
+
+def test_packing(tables):
+    used, least = check(tables[5], {r.doc_id: r.text for r in tables[4]}, Encoder(byte_level_tokenizer()), 1024)
+    assert used <= 1.05 * least + 1
+
+
+def test_run_and_edges(spark, tmp_path):
+    assert corpus_pipeline.ORACLE_SQL is None
+    good = " ".join(f"word{i} and" for i in range(40))
+    rows = [(1, good, None, "s", None), (1, good, None, "s", None), (2, None, "en", None, 0), (None, good + " more", "en", "s", 1), (None, None, None, None, None)]
+    for name, data in (("some", rows), ("none", [])):
+        spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, "a b"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert sorted({r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()}, key=repr) == [1, None]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
