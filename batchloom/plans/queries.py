@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -401,6 +401,12 @@ def dw_offices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("dw_office_id", "officecode", "city", "phone", "territory", *_AUDIT)
 
 
+@query
+def dw_offices_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _two_batches(spark, sf_dir, OFFICES, split="s", options=loads.MODEL["offices"])
+    return table.select("dw_office_id", "officecode", "city", "country", "territory", *_AUDIT)
+
+
 @query
 def dw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     offices = _once(spark, sf_dir, OFFICES)
@@ -484,6 +490,12 @@ def dw_productlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_batches(spark, sf_dir, PRODUCTLINES, split="s").select("dw_product_line_id", "productline", *_AUDIT)
 
 
+@query
+def dw_productlines_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _two_batches(spark, sf_dir, PRODUCTLINES, split="s", options=loads.MODEL["productlines"])
+    return table.select("dw_product_line_id", "productline", *_AUDIT)
+
+
 @query
 def dw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _once(spark, sf_dir, PRODUCTLINES)
@@ -658,37 +670,57 @@ def product_history_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- summaries ---------------------------------------------------------------------------------
 
 
-def _facts(spark: SparkSession, sf_dir: str, batch: Batch | None = None) -> dict[str, DataFrame]:
-    """Fact and entity tables with natural keys as ids: everything, or the state after a batch."""
+def _facts(spark: SparkSession, sf_dir: str, batch: Batch | None = None, loose: bool = False) -> dict[str, DataFrame]:
+    """Fact and entity tables with natural keys as ids: everything, or the state after a batch.
+
+    ``loose``: some payments have no customer id, and some lines were loaded before their order or their product, as
+    the model way keeps them.
+    """
     b1 = "_b1" if batch is BATCH_1 else ""
     products = fixture(spark, sf_dir, "fx_products")
     if batch is BATCH_2:
         products = merge_update(products, fixture(spark, sf_dir, "fx_products_b2"), ["productcode"], ["msrp"])
-    details = fixture(spark, sf_dir, f"fx_orderdetails{b1}")
+    details = fixture(spark, sf_dir, f"fx_orderdetails{b1}").withColumnsRenamed(
+        {"ordernumber": "src_ordernumber", "productcode": "src_productcode"}
+    )
+
+    def known(column: str, number: str, period: int, rest: int) -> Column:
+        return F.when(F.col(number) % period != rest, F.col(column)) if loose else F.col(column)
+
     return {
-        "orders": fixture(spark, sf_dir, f"fx_orders{b1}").withColumnsRenamed(
-            {"ordernumber": "dw_order_id", "customernumber": "dw_customer_id"}
+        "orders": fixture(spark, sf_dir, f"fx_orders{b1}")
+        .withColumnsRenamed({"ordernumber": "dw_order_id", "customernumber": "dw_customer_id"})
+        .withColumn("src_ordernumber", F.col("dw_order_id")),
+        "orderdetails": details.withColumns(
+            {
+                "dw_order_id": known("src_ordernumber", "src_ordernumber", 61, 5),
+                "dw_product_id": known("src_productcode", "src_ordernumber", 50, 7),
+            }
+        ),
+        "products": products.withColumns({"dw_product_id": F.col("productcode")}).withColumnRenamed(
+            "productcode", "src_productcode"
+        ),
+        "payments": fixture(spark, sf_dir, f"fx_payments{b1}").withColumn(
+            "dw_customer_id", known("customernumber", "customernumber", 37, 3)
         ),
-        "orderdetails": details.withColumnsRenamed({"ordernumber": "dw_order_id", "productcode": "dw_product_id"}),
-        "products": products.withColumnRenamed("productcode", "dw_product_id"),
-        "payments": fixture(spark, sf_dir, f"fx_payments{b1}").withColumnRenamed("customernumber", "dw_customer_id"),
         "customers": fixture(spark, sf_dir, f"fx_customers{b1}").withColumnsRenamed(
             {"customernumber": "dw_customer_id", "create_timestamp": "src_create_timestamp"}
         ),
     }
 
 
-def _lines(facts: dict[str, DataFrame], batch: Batch) -> DataFrame:
-    return write_scratch(summaries.order_lines(facts["orders"], facts["orderdetails"], batch), "order-lines")
+def _lines(facts: dict[str, DataFrame], batch: Batch, rules: summaries.DayRules) -> DataFrame:
+    lines = summaries.order_lines(facts["orders"], facts["orderdetails"], batch, rules.natural_keys)
+    return write_scratch(lines, "order-lines")
 
 
 def _by_customer(facts: dict[str, DataFrame], batch: Batch, rules: summaries.DayRules) -> DataFrame:
     others = [facts[t] for t in ("products", "payments", "customers")]
-    return summaries.daily_customer_summary(_lines(facts, batch), *others, batch, rules)
+    return summaries.daily_customer_summary(_lines(facts, batch, rules), *others, batch, rules)
 
 
 def _by_product(facts: dict[str, DataFrame], batch: Batch, rules: summaries.DayRules) -> DataFrame:
-    return summaries.daily_product_summary(_lines(facts, batch), facts["products"], batch, rules)
+    return summaries.daily_product_summary(_lines(facts, batch, rules), facts["products"], batch, rules)
 
 
 @query
@@ -698,7 +730,7 @@ def daily_customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_customer_summary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_customer(_facts(spark, sf_dir), BATCH_1, summaries.MODEL)
+    return _by_customer(_facts(spark, sf_dir, loose=True), BATCH_1, summaries.MODEL)
 
 
 @query
@@ -708,7 +740,7 @@ def daily_product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_product_summary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_product(_facts(spark, sf_dir), BATCH_1, summaries.MODEL)
+    return _by_product(_facts(spark, sf_dir, loose=True), BATCH_1, summaries.MODEL)
 
 
 @query

@@ -14,6 +14,7 @@ from batchloom.operators.control import Batch
 from batchloom.operators.ranking import first_day
 from batchloom.operators.rollup import MONTH, accumulate, missing_months, rollup_month
 from batchloom.schemas import MONEY_SUM, MONTHLY_CUSTOMER, MONTHLY_PRODUCT
+from batchloom.sources.files import write_scratch
 
 _COUNT, _FLAG = T.LongType(), T.IntegerType()
 # Order status texts.
@@ -31,6 +32,8 @@ class DayRules:
         quantity x buying price and the sales amounts get columns of their own.
     cancel_is_active: customer_apd is 1 on a day that only has cancellations.
     combine: how the product branches are merged.
+    natural_keys: products, and for product days orders, are found by their natural keys, as lines loaded before them
+        have no ids. ``lines`` must then be ``order_lines(..., natural=True)``.
     """
 
     count_items: bool = False
@@ -39,6 +42,7 @@ class DayRules:
     price_as_cost: bool = True
     cancel_is_active: bool = True
     combine: str = "max"
+    natural_keys: bool = False
 
 
 SCRIPT = DayRules()
@@ -49,6 +53,7 @@ MODEL = DayRules(
     price_as_cost=False,
     cancel_is_active=False,
     combine="sum",
+    natural_keys=True,
 )
 
 
@@ -65,27 +70,43 @@ def _shipped(batch: Batch) -> Column:
     return _since("shippeddate", batch) & (F.col("status") == SHIPPED)
 
 
-def order_lines(orders: DataFrame, orderdetails: DataFrame, batch: Batch) -> DataFrame:
+def order_lines(orders: DataFrame, orderdetails: DataFrame, batch: Batch, natural: bool = False) -> DataFrame:
     """Lines of the orders placed, cancelled or shipped since the batch date, with their amount in cents.
 
-    Orders are filtered before the join. When both tables carry their order month it joins the
-    key, so the detail partitions of other months are pruned at run time. Both daily tables and
-    each of their groupings read these lines, so callers store them once (``write_scratch``)
-    instead of joining again for every reader.
+    Orders are filtered and stored before the join. When both tables carry their order month, the months of these
+    orders (one value per month is all the driver learns) become a plain filter on the details, so that the partitions
+    of other months are never listed or read, whichever way the join runs. Both daily tables and each of their groupings
+    read these lines, so callers store them once (``write_scratch``) instead of joining again for every reader.
+
+    ``natural`` joins by the order's number instead of its id, as details loaded before their order have no id; such
+    lines keep a NULL ``dw_order_id``, and every line keeps ``src_productcode``.
     """
     month = [c for c in ("order_month",) if c in orders.columns and c in orderdetails.columns]
     wanted = _since("orderdate", batch) | _since("cancelleddate", batch) | _since("shippeddate", batch)
-    heads = orders.where(wanted).select(
-        "dw_order_id", *month, "dw_customer_id", "orderdate", "shippeddate", "cancelleddate", "status"
-    )
-    lines = orderdetails.select("dw_order_id", *month, "dw_product_id", "quantityordered", "priceeach")
+    key = "src_ordernumber" if natural else "dw_order_id"
+    heads = orders.where(wanted).select(key, *month, "dw_customer_id", "orderdate", "shippeddate", "cancelleddate", "status")
+    named = ["dw_order_id", "src_productcode"] if natural else []
+    if month:
+        heads = write_scratch(heads, "order-heads")
+        months = [r[0] for r in heads.select(*month).distinct().collect()]
+        here = F.col("order_month").isin([m for m in months if m is not None])
+        # A line without an order id was stored without its order's month, too.
+        orderdetails = orderdetails.where(here | F.col("order_month").isNull() if natural else here)
+    together = [key] if natural else [key, *month]
+    lines = orderdetails.select(key, *([] if natural else month), *named, "dw_product_id", "quantityordered", "priceeach")
     return (
-        heads.join(lines, ["dw_order_id", *month])
+        heads.join(lines, together)
         .withColumn("cents", to_cents(F.col("priceeach")) * F.col("quantityordered"))
         .drop(*month, "priceeach")
     )
 
 
+def with_known_products(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines with the product id their product has by now, found by the product's code."""
+    now = products.select("src_productcode", "dw_product_id")
+    return lines.drop("dw_product_id").join(now, "src_productcode", "left")
+
+
 def _events(df: DataFrame, events: dict[str, tuple[str, Column]], *keep: str) -> DataFrame:
     """One row per fact and kind: ``events`` maps a kind to its day column and its condition."""
     structs = [
@@ -112,6 +133,8 @@ def daily_customer_summary(
     """
     ordered, cancelled, shipped = _since("orderdate", batch), _cancelled(batch, rules), _shipped(batch)
     customer = "dw_customer_id"
+    if rules.natural_keys:
+        lines = with_known_products(lines.where(F.col("dw_order_id").isNotNull()), products)
 
     per_order = lines.groupBy("dw_order_id", customer, "orderdate", "shippeddate", "cancelleddate", "status").agg(
         F.sum("cents").alias("cents"), F.count("dw_product_id").alias("product_lines")
@@ -127,7 +150,7 @@ def daily_customer_summary(
         "cents",
     ).withColumn("orders", F.lit(1))
 
-    # dw_product_id is only ever set by a lookup in products, so a non-NULL id always finds its product.
+    # dw_product_id only ever comes from products, so a non-NULL id always finds its product.
     per_product = (
         lines.where(ordered & F.col("dw_product_id").isNotNull())
         .groupBy(F.col("orderdate").alias("summary_date"), customer, "dw_product_id")
@@ -155,10 +178,11 @@ def daily_customer_summary(
         .agg(F.sum(to_cents(F.col("amount"))).alias("cents"))
     )
     if rules.first_payment:
-        first = first_day(payments, customer, "paymentdate", "first_paid")
-        paid = paid.join(first, customer, "left").withColumn(
+        # Payments without a known customer are ranked together, as one customer.
+        first = first_day(payments, customer, "paymentdate", "first_paid").withColumnRenamed(customer, "__payer")
+        paid = paid.join(first, paid[customer].eqNullSafe(first["__payer"]), "left").withColumn(
             "first", F.when(F.col("summary_date") == F.col("first_paid"), F.lit(1)).otherwise(F.lit(0))
-        ).drop("first_paid")
+        ).drop("first_paid", "__payer")
     else:
         paid = paid.withColumn("first", F.lit(0))
     paid_events = paid.withColumn(KIND, F.lit("paid"))
@@ -207,6 +231,8 @@ def daily_product_summary(
     a best-selling product joins one row per day.
     """
     ordered, cancelled = _since("orderdate", batch), _cancelled(batch, rules)
+    if rules.natural_keys:
+        lines = with_known_products(lines, products)
     # (order, product) is the key of the details, so counting lines counts orders.
     events = _events(
         lines.where(F.col("dw_product_id").isNotNull()),
