@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,7 +97,14 @@ def merge_upsert(
     insert_stamps: Mapping[str, Column] | None = None,
     newer_by: str | None = None,
 ) -> DataFrame:
-    """Update in one full outer join: known keys take ``cols``, unknown keys are inserted whole."""
+    """Update in one full outer join: known keys take ``cols``, unknown keys are inserted whole.
+
+    Source rows without a key are rejected. Target rows without one pass by the join, where they would all meet in one
+    task.
+    """
+    source = reject_null_keys(source, keys)
+    keyless = target.where(~reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    target = reject_null_keys(target, keys)
     update_stamps, insert_stamps = dict(update_stamps or {}), dict(insert_stamps or {})
     old = target.select(*[F.col(c).alias("__old_" + c) if c not in keys else F.col(c) for c in target.columns], F.lit(True).alias("__in_target"))
     incoming = source.select(
@@ -117,7 +126,7 @@ def merge_upsert(
         out.append(
             F.when(~known, inserted).when(hit, updated).otherwise(before).cast(target.schema[c].dataType).alias(c)
         )
-    return joined.select(*out)
+    return joined.select(*out).unionByName(keyless)
 
 
 def append(target: DataFrame, new: DataFrame) -> DataFrame:

@@ -6,24 +6,73 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
+from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchloom.operators.control import Batch, close_batch, open_batch
-from batchloom.operators.history import scd2
+from batchloom.operators.history import scd2, updated_in
 from batchloom.operators.keys import max_id
 from batchloom.operators.merge import matched_keys, replace_by_key
 from batchloom.plans import summaries
-from batchloom.plans.loads import SCRIPT, LoadOptions, insert_rows, link_managers, resolved, update_rows
-from batchloom.schemas import EMPLOYEES, ENTITIES, STAGE, Entity
+from batchloom.plans.loads import MODEL, SCRIPT, LoadOptions, insert_rows, link_managers, resolved, update_rows
+from batchloom.schemas import EMPLOYEES, ENTITIES, STAGE, WAREHOUSE, Entity
 from batchloom.sources.files import scratch_scope, write_scratch
 from batchloom.sources.landing import read_landing, write_landing
 from batchloom.sources.relational import extract_since
 from batchloom.sources.store import Store
 
 
+def _at_once(batch: Batch) -> Column | None:
+    return None
+
+
+def _next_batch(batch: Batch) -> Column | None:
+    return F.lit(False)
+
+
+@dataclass(frozen=True)
+class Way:
+    """One of the two ways of running a batch: options per entity, day rules, histories and months.
+
+    ``reopen_*`` give the condition under which a closed version gets its successor at once. ``*_months`` take the
+    daily rows and the month rows from the batch's month on.
+    """
+
+    loads: Mapping[str, LoadOptions]
+    rules: summaries.DayRules
+    reopen_customers: Callable[[Batch], Column | None]
+    reopen_products: Callable[[Batch], Column | None]
+    customer_months: Callable[[DataFrame, DataFrame, Batch], DataFrame]
+    product_months: Callable[[DataFrame, DataFrame, Batch], DataFrame]
+
+
+def _added(step):
+    """Months by adding the batch's days, with the arguments of the recomputing functions."""
+    return lambda daily, target, batch: step(target, daily, batch)
+
+
+SCRIPT_WAY = Way(
+    {t: SCRIPT for t in ENTITIES},
+    summaries.SCRIPT,
+    _at_once,
+    _at_once,
+    summaries.recompute_customer_months,
+    summaries.recompute_product_months,
+)
+#: Months are added to, so a batch must not be repeated.
+MODEL_WAY = Way(
+    MODEL,
+    summaries.MODEL,
+    updated_in,
+    _next_batch,
+    _added(summaries.accumulate_customer_months_model),
+    _added(summaries.accumulate_product_months_model),
+)
+
+
 def stage_load(store: Store, landing: str, table: str, batch: Batch, attempt: str = "newest") -> None:
     """Replace a stage table by the landed rows of the batch; a file that does not parse leaves the old one."""
     store.replace_stage(table, read_landing(store.spark, landing, table, batch.date, STAGE[table], attempt))
@@ -66,43 +115,47 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
     store.replace_partitions(entity.table, updated.unionByName(fresh))
 
 
-def load_history(store: Store, table: str, entity: DataFrame, key: str, tracked: str, batch: Batch) -> None:
+def load_history(
+    store: Store, table: str, entity: DataFrame, key: str, tracked: str, batch: Batch, reopen: Column | None = None
+) -> None:
     """Rewrite the active partition and add the rows this batch closed; older closed rows stay put."""
     history = store.read(table)
     open_part = history.where(F.col("update_etl_batch_no").isNull() | (F.col("update_etl_batch_no") == batch.no))
-    store.replace_partitions(table, scd2(open_part, entity, key, tracked, batch))
+    after = write_scratch(scd2(open_part, entity, key, tracked, batch, reopen=reopen), table)
+    store.replace_partitions(table, after)
+    if after.where("update_etl_batch_no is null").isEmpty():
+        store.drop_partition(table, None)  # no row is active any more, so the write did not touch their partition
 
 
 def load_daily(store: Store, table: str, daily: DataFrame, key: str, batch: Batch) -> None:
     """Put the batch's days into the months they fall in; equal (day, key) rows are replaced."""
-    fresh = write_scratch(summaries.finish_daily(daily, batch), table)
+    days = summaries.finish_daily(daily, batch)
+    absent = [f for f in WAREHOUSE[table][0].fields if f.name not in days.columns]  # measures of the other way
+    fresh = write_scratch(days.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}), table)
     if fresh.isEmpty():
         return
     kept = store.read(table, since=batch.date)
     store.replace_partitions(table, replace_by_key(kept, fresh, ["summary_date", key]))
 
 
-def load_monthly(store: Store, table: str, daily_table: str, recompute, batch: Batch) -> None:
-    """Recompute the months from the batch's month on, so a repeated batch changes nothing."""
-    months = recompute(store.read(daily_table, since=batch.date), store.read(table, since=batch.date), batch)
-    if not months.isEmpty():
-        store.replace_partitions(table, months)
+def load_monthly(store: Store, table: str, daily_table: str, step, batch: Batch) -> None:
+    """Bring the months from the batch's month on up to date; the script way recomputes them."""
+    months = step(store.read(daily_table, since=batch.date), store.read(table, since=batch.date), batch)
+    store.replace_partitions(table, months)
 
 
-def load_customer_summaries(store: Store, lines: DataFrame, batch: Batch) -> None:
-    days = summaries.daily_customer_summary(
-        lines, store.read("products"), store.read("payments", since=batch.date), store.read("customers"), batch
-    )
+def load_customer_summaries(store: Store, lines: DataFrame, batch: Batch, way: Way = SCRIPT_WAY) -> None:
+    # A first payment is the first of all, so marking it needs the earlier months, too.
+    payments = store.read("payments", since=None if way.rules.first_payment else batch.date)
+    days = summaries.daily_customer_summary(lines, store.read("products"), payments, store.read("customers"), batch, way.rules)
     load_daily(store, "daily_customer_summary", days, "dw_customer_id", batch)
-    load_monthly(
-        store, "monthly_customer_summary", "daily_customer_summary", summaries.recompute_customer_months, batch
-    )
+    load_monthly(store, "monthly_customer_summary", "daily_customer_summary", way.customer_months, batch)
 
 
-def load_product_summaries(store: Store, lines: DataFrame, batch: Batch) -> None:
-    days = summaries.daily_product_summary(lines, store.read("products"), batch)
+def load_product_summaries(store: Store, lines: DataFrame, batch: Batch, way: Way = SCRIPT_WAY) -> None:
+    days = summaries.daily_product_summary(lines, store.read("products"), batch, way.rules)
     load_daily(store, "daily_product_summary", days, "dw_product_id", batch)
-    load_monthly(store, "monthly_product_summary", "daily_product_summary", summaries.recompute_product_months, batch)
+    load_monthly(store, "monthly_product_summary", "daily_product_summary", way.product_months, batch)
 
 
 def _side_by_side(chains: Sequence[Sequence[Callable[[], None]]]) -> None:
@@ -124,13 +177,14 @@ def run_batch(
     sources: Mapping[str, DataFrame],
     batch: Batch,
     ended_at: dt.datetime | None = None,
+    way: Way = SCRIPT_WAY,
 ) -> None:
-    """Run one batch. An error stops it after the steps already running and leaves the batch open in the log.
+    """Run one batch, the script way or the model way. An error stops it after the steps already running and leaves the batch open in the log.
 
     Steps that do not read each other's tables run side by side; the others keep dependency order.
     """
     def load(*tables: str) -> list[Callable[[], None]]:
-        return [partial(load_table, store, ENTITIES[t], batch) for t in tables]
+        return [partial(load_table, store, ENTITIES[t], batch, way.loads[t]) for t in tables]
 
     with scratch_scope(store.spark):
         store.replace("batch_control_log", open_batch(store.read("batch_control_log"), batch))
@@ -139,15 +193,17 @@ def run_batch(
         _side_by_side([load("payments"), load("orderdetails")])
         customers, products = store.read("customers"), store.read("products")
         lines = write_scratch(
-            summaries.order_lines(store.read("orders"), store.read("orderdetails"), batch), "order-lines"
+            summaries.order_lines(store.read("orders"), store.read("orderdetails"), batch, way.rules.natural_keys),
+            "order-lines",
         )
         _side_by_side(
             [
-                [partial(load_history, store, "customer_history", customers, "dw_customer_id", "creditlimit", batch)],
-                [partial(load_history, store, "product_history", products, "dw_product_id", "msrp", batch)],
-                [partial(load_customer_summaries, store, lines, batch)],
-                [partial(load_product_summaries, store, lines, batch)],
+                [partial(load_history, store, "customer_history", customers, "dw_customer_id", "creditlimit", batch, way.reopen_customers(batch))],
+                [partial(load_history, store, "product_history", products, "dw_product_id", "msrp", batch, way.reopen_products(batch))],
+                [partial(load_customer_summaries, store, lines, batch, way)],
+                [partial(load_product_summaries, store, lines, batch, way)],
             ]
         )
         log = close_batch(store.read("batch_control_log"), batch, ended_at or dt.datetime.now().replace(microsecond=0))
         store.replace("batch_control_log", log)
+        store.prune()

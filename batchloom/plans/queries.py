@@ -70,9 +70,18 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register a query under a name of its own."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[name] = lambda spark, sf_dir: present(fn(spark, sf_dir))
+        return fn
+
+    return register
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: present(fn(spark, sf_dir))
-    return fn
+    return named(fn.__name__)(fn)
 
 
 def _empty_table(spark: SparkSession, entity: Entity) -> DataFrame:
@@ -82,15 +91,12 @@ def _empty_table(spark: SparkSession, entity: Entity) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------------------
 
 
-@query
+@named("extract_since")
 def extract_since_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = ["ordernumber", "orderdate", "status", "customernumber", "update_timestamp"]
     return extract_since(fixture(spark, sf_dir, "fx_orders"), wanted, "update_timestamp", dt.date(1998, 7, 16))
 
 
-QUERIES["extract_since"] = QUERIES.pop("extract_since_batch")
-
-
 @query
 def landing_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = raw(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -217,15 +223,12 @@ def batch_stamp_crossjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- predicates, lookups, joins ----------------------------------------------------------------
 
 
-@query
+@named("reject_null_keys")
 def reject_null_keys_sales_rep(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = fixture(spark, sf_dir, "fx_customers").select("customernumber", "salesrepemployeenumber", "creditlimit")
     return reject_null_keys(customers, ["salesrepemployeenumber"])
 
 
-QUERIES["reject_null_keys"] = QUERIES.pop("reject_null_keys_sales_rep")
-
-
 def _keyed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixture(spark, sf_dir, "fx_customers")
     return assign_keys(rows, ["customernumber"], "dw_customer_id")
@@ -335,28 +338,24 @@ def _customer_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return fixture(spark, sf_dir, "fx_customers_b1"), fixture(spark, sf_dir, "fx_customers_b2")
 
 
-@query
+@named("merge_update")
 def merge_update_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _customer_batches(spark, sf_dir)
     return merge_update(old, new, ["customernumber"], _CUSTOMER_UPDATES)
 
 
-@query
+@named("merge_insert")
 def merge_insert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _customer_batches(spark, sf_dir)
     return merge_insert(old, new, ["customernumber"])
 
 
-@query
+@named("merge_upsert")
 def merge_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _customer_batches(spark, sf_dir)
     return merge_upsert(old, new, ["customernumber"], _CUSTOMER_UPDATES)
 
 
-for _name in ("merge_update", "merge_insert", "merge_upsert"):
-    QUERIES[_name] = QUERIES.pop(_name + "_customers")
-
-
 @query
 def orders_upsert_if_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = fixture(spark, sf_dir, "fx_orders_b1"), fixture(spark, sf_dir, "fx_orders")
@@ -617,7 +616,7 @@ def changed_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return really_updated(second, BATCH_2).select("dw_customer_id", "creditlimit", "src_update_timestamp")
 
 
-@query
+@named("scd2_close")
 def scd2_close_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _limits(spark, sf_dir)
     history = _history_of("customer_history", first, "dw_customer_id", "creditlimit")
@@ -625,9 +624,6 @@ def scd2_close_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.select("dw_customer_id", "creditlimit", *_HISTORY)
 
 
-QUERIES["scd2_close"] = QUERIES.pop("scd2_close_limits")
-
-
 @query
 def customer_history_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _limits(spark, sf_dir)

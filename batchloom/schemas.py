@@ -257,7 +257,8 @@ DAILY_CUSTOMER = columns(
 DAILY_PRODUCT = columns(
     "summary_date date, dw_product_id bigint, customer_apd int, product_cost_amount money_sum, "
     "product_mrp_amount money_sum, cancelled_product_qty bigint, cancelled_cost_amount money_sum, "
-    "cancelled_mrp_amount money_sum, cancelled_order_apd int" + _DAY_BATCH + ", summary_month date"
+    "cancelled_mrp_amount money_sum, cancelled_order_apd int, product_amount money_sum, cancelled_amount money_sum"
+    + _DAY_BATCH + ", summary_month date"
 )
 MONTHLY_CUSTOMER = columns(
     "dw_customer_id bigint, order_count bigint, order_apd bigint, order_apm int, order_amount money_sum, "

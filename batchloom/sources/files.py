@@ -35,15 +35,33 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+#: Written by this library after a Spark write has returned; clusters may switch Spark's own marker off.
+_RECORD = "_committed"
+
+
+class UncommittedError(RuntimeError):
+    """Folders hold data, but no record says that any of it is complete."""
+
+
+def commit(spark: SparkSession, path: str) -> None:
+    """Record that the folder's write is complete."""
+    fs, p = _filesystem(spark, f"{path}/{_RECORD}")
+    fs.create(p, True).close()
+
+
 def committed(spark: SparkSession, path: str) -> bool:
-    """True once a Spark write into this folder has committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+    """True once the write into this folder was recorded as complete."""
+    return exists(spark, f"{path}/{_RECORD}") or exists(spark, f"{path}/_SUCCESS")
 
 
 def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Sorted n of the committed sub-folders ``<prefix><n>``."""
     found = [int(n[len(prefix):]) for n in list_names(spark, path) if n.startswith(prefix)]
-    return sorted(n for n in found if committed(spark, f"{path}/{prefix}{n}"))
+    done = sorted(n for n in found if committed(spark, f"{path}/{prefix}{n}"))
+    # A write that failed leaves no files at the top of its folder; files without a record have lost it.
+    if found and not done and any(f.startswith("part-") for n in found for f in list_names(spark, f"{path}/{prefix}{n}")):
+        raise UncommittedError(f"{path} has data but no commit record: put an empty {_RECORD} into complete folders, drop the others")
+    return done
 
 
 def next_number(spark: SparkSession, path: str, prefix: str) -> int:

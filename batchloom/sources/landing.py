@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from batchloom.sources.files import next_number, numbered
+from batchloom.sources.files import commit, next_number, numbered
 
 # CSV dialect. Quotes are doubled inside quoted fields, NULL and
 # the empty text are both an empty field, which loads as NULL.
@@ -38,6 +38,7 @@ def write_landing(df: DataFrame, root: str, table: str, batch_date: dt.date) ->
     path = f"{folder}/attempt={next_number(df.sparkSession, folder, 'attempt=')}"
     # Quoted newlines make a CSV file one task on reading, so files are kept small.
     df.write.options(**_DIALECT, dateFormat="yyyy-MM-dd", maxRecordsPerFile=_ROWS_PER_FILE).csv(path)
+    commit(df.sparkSession, path)
     return path
 
 

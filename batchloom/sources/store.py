@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from batchloom.functions import empty_table
 from batchloom.schemas import STAGE, WAREHOUSE
-from batchloom.sources.files import delete, list_names, next_number, numbered
+from batchloom.sources.files import commit, delete, list_names, next_number, numbered
 
 
 class Store:
@@ -54,6 +54,7 @@ class Store:
     def _publish(self, df: DataFrame, folder: str) -> None:
         path = f"{folder}/v={next_number(self.spark, folder, 'v=')}"
         df.write.parquet(path)
+        commit(self.spark, path)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Publish a new snapshot; the old one stays current until the write has committed."""
@@ -82,6 +83,12 @@ class Store:
             .parquet(self._folder(table))
         )
 
+    def drop_partition(self, table: str, value: object) -> None:
+        """Remove the rows stored under one value of the partition column (None: NULL)."""
+        partition = WAREHOUSE[table][1]
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        delete(self.spark, f"{self._folder(table)}/{partition}={name}")
+
     def replace_stage(self, table: str, df: DataFrame) -> None:
         """Truncate-and-load: this batch's rows become the whole stage table."""
         self._publish(df.select(*STAGE[table].names), f"{self.root}/stage/{table}")
