@@ -28,11 +28,16 @@ _CUT = "2001-07-16"
 
 VIEWS: dict[str, str] = {
     "fx_offices": f"""
-        select cast(n_nationkey as string) as officecode, n_name as city, n_name as country, r_name as territory,
+        select cast(n_nationkey as string) as officecode, n_name as city, concat('+', cast(n_nationkey as string)) as phone,
+               concat(n_name, ' Road') as addressline1, concat('Floor ', cast(n_nationkey as string)) as addressline2,
+               concat('S', cast(n_nationkey as string)) as state, n_name as country,
+               concat('Z', cast(n_nationkey as string)) as postalcode, r_name as territory,
                {_STAMPS}
         from nation join region on n_regionkey = r_regionkey""",
     "fx_employees": f"""
-        select s_suppkey as employeenumber, s_name as lastname, cast(s_nationkey as string) as officecode,
+        select s_suppkey as employeenumber, s_name as lastname, concat('F', cast(s_suppkey as string)) as firstname,
+               concat('x', cast(s_suppkey as string)) as extension,
+               concat('e', cast(s_suppkey as string), '@example.org') as email, cast(s_nationkey as string) as officecode,
                case when s_suppkey > 0 then cast(floor(s_suppkey / 10.0) as bigint) end as reportsto,
                case when s_suppkey = 0 then 'President' else 'Sales Rep' end as jobtitle,
                {_STAMPS}
@@ -49,6 +54,7 @@ VIEWS: dict[str, str] = {
         select productline, {_STAMPS} from (select distinct p_brand as productline from part) b""",
     "fx_products": f"""
         select concat('P', cast(p_partkey as string)) as productcode, p_name as productname, p_brand as productline,
+               concat('1:', cast(cast(p_size as int) as string)) as productscale, concat('Vendor ', p_brand) as productvendor,
                cast(p_size as int) as quantityinstock, cast(p_retailprice as decimal(10,2)) as buyprice,
                cast(cast(p_retailprice as decimal(10,2)) + cast(10 as decimal(10,2)) as decimal(10,2)) as msrp,
                {_STAMPS}
@@ -115,16 +121,38 @@ VIEWS: dict[str, str] = {
         select d.ordernumber, d.productcode, d.quantityordered, d.priceeach, d.orderlinenumber,
                d.create_timestamp, timestamp '{_CUT} 00:00:00' as update_timestamp
         from fx_orderdetails d join fx_orders_b2 o on d.ordernumber = o.ordernumber""",
+    # Customers with every column of their table.
+    "fx_customers_w1": """
+        select customernumber, customername, concat('L', cast(customernumber as string)) as contactlastname,
+               concat('F', cast(customernumber as string)) as contactfirstname, concat('+', cast(customernumber as string)) as phone,
+               concat('A', cast(customernumber as string)) as addressline1, concat('B', cast(customernumber as string)) as addressline2,
+               concat('C', cast(customernumber as string)) as city, concat('S', cast(customernumber as string)) as state,
+               concat('Z', cast(customernumber as string)) as postalcode, country, salesrepemployeenumber, creditlimit,
+               create_timestamp, update_timestamp
+        from fx_customers_b1""",
+    "fx_customers_w2": """
+        select customernumber, customername, concat('l', cast(customernumber as string)) as contactlastname,
+               concat('f', cast(customernumber as string)) as contactfirstname, concat('-', cast(customernumber as string)) as phone,
+               concat('a', cast(customernumber as string)) as addressline1, concat('b', cast(customernumber as string)) as addressline2,
+               concat('c', cast(customernumber as string)) as city, concat('s', cast(customernumber as string)) as state,
+               concat('z', cast(customernumber as string)) as postalcode, concat(country, ' 2') as country,
+               salesrepemployeenumber, creditlimit, create_timestamp, update_timestamp
+        from fx_customers_b2""",
     # The splits below give the small keyed tables both changed and new rows in their second batch.
     "fx_offices_s1": "select * from fx_offices where territory <> 'ASIA'",
     "fx_offices_s2": f"""
-        select officecode, concat(city, ' Centre') as city, country, territory, create_timestamp,
+        select officecode, concat(city, ' Centre') as city, concat(phone, '0') as phone,
+               concat(addressline1, ' 2') as addressline1, concat(addressline2, 'b') as addressline2,
+               concat(state, 'b') as state, concat(country, ' 2') as country, concat(postalcode, 'b') as postalcode,
+               concat(territory, ' 2') as territory, create_timestamp,
                timestamp '{_CUT} 00:00:00' as update_timestamp
         from fx_offices where territory in ('ASIA', 'EUROPE')""",
     "fx_employees_s1": """
         select e.* from fx_employees e join fx_offices_s1 o on e.officecode = o.officecode""",
     "fx_employees_s2": f"""
-        select e.employeenumber, e.lastname, e.officecode, e.reportsto, 'Sales Manager' as jobtitle,
+        select e.employeenumber, concat(e.lastname, 'b') as lastname, concat(e.firstname, 'b') as firstname,
+               concat(e.extension, '9') as extension, concat('b', e.email) as email, e.officecode, e.reportsto,
+               'Sales Manager' as jobtitle,
                e.create_timestamp, timestamp '{_CUT} 00:00:00' as update_timestamp
         from fx_employees e join fx_offices_s2 o on e.officecode = o.officecode""",
     "fx_productlines_s1": "select * from fx_productlines where productline < 'Brand#5'",
@@ -134,7 +162,9 @@ VIEWS: dict[str, str] = {
     "fx_products_s1": """
         select p.* from fx_products p join fx_productlines_s1 l on p.productline = l.productline""",
     "fx_products_s2": f"""
-        select productcode, productname, productline, quantityinstock, buyprice,
+        select productcode, concat(productname, ' b') as productname, productline, concat(productscale, '0') as productscale,
+               concat(productvendor, ' b') as productvendor, cast(quantityinstock + 1 as int) as quantityinstock,
+               cast(buyprice + cast(1 as decimal(10,2)) as decimal(10,2)) as buyprice,
                cast(msrp + cast(5 as decimal(10,2)) as decimal(10,2)) as msrp,
                create_timestamp, timestamp '{_CUT} 00:00:00' as update_timestamp
         from fx_products where quantityinstock <= 5 or productline >= 'Brand#5'""",

@@ -304,12 +304,16 @@ _AUDIT = (
     "src_create_timestamp:t src_update_timestamp:t dw_create_timestamp:t dw_update_timestamp:t etl_batch_no etl_batch_date:d"
 )
 
+_OFFICE_UPDATES = "city phone addressline1 addressline2 state country postalcode territory".split()
+_EMPLOYEE_UPDATES = "lastname firstname extension email officecode reportsto jobtitle dw_office_id".split()
+_CUSTOMER_COLUMNS = "contactlastname contactfirstname phone addressline1 addressline2 city state postalcode".split()
+
 oracle(
     "dw_offices",
-    f"dw_office_id officecode city phone territory {_AUDIT}",
-    "select *, cast(null as varchar) as phone from offices_2",
+    f"dw_office_id officecode {' '.join(_OFFICE_UPDATES)} {_AUDIT}",
+    "select * from offices_2",
     ["fx_offices_s1", "fx_offices_s2"],
-    _states("offices", "dw_office_id", ["officecode"], ("fx_offices_s1", "fx_offices_s2"), ["city", "territory"]),
+    _states("offices", "dw_office_id", ["officecode"], ("fx_offices_s1", "fx_offices_s2"), _OFFICE_UPDATES),
 )
 oracle(
     "dw_offices_model",
@@ -329,7 +333,7 @@ def _resolved(name: str, stage: str, joins: str, ids: str) -> tuple[str, str]:
 _TO_OFFICE = "left join offices_k o on s.officecode = o.officecode"
 oracle(
     "dw_employees",
-    f"dw_employee_id employeenumber lastname jobtitle reportsto dw_office_id dw_reporting_employee_id {_AUDIT}",
+    f"dw_employee_id employeenumber {' '.join(_EMPLOYEE_UPDATES)} dw_reporting_employee_id {_AUDIT}",
     """select e.*, m.dw_employee_id as dw_reporting_employee_id
        from employees_2 e left join employees_2 m on e.reportsto = m.employeenumber""",
     ["fx_offices", "fx_employees_s1", "fx_employees_s2"],
@@ -339,7 +343,7 @@ oracle(
         _resolved("e2", "fx_employees_s2", _TO_OFFICE, "dw_office_id"),
         *_states(
             "employees", "dw_employee_id", ["employeenumber"], ("e1", "e2"),
-            ["lastname", "officecode", "reportsto", "jobtitle", "dw_office_id"],
+            _EMPLOYEE_UPDATES,
             update_if="dw_office_id is not null", insert_if="dw_office_id is not null",
         ),
     ],
@@ -358,10 +362,19 @@ _CUSTOMER_STATES = [
 ]
 oracle(
     "dw_customers",
-    f"dw_customer_id src_customernumber customername creditlimit:m dw_sales_employee_id {_AUDIT}",
+    f"""dw_customer_id src_customernumber customername {' '.join(_CUSTOMER_COLUMNS)} country salesrepemployeenumber
+        creditlimit:m dw_sales_employee_id {_AUDIT}""",
     "select *, customernumber as src_customernumber from customers_2",
-    ["fx_employees", *_CUSTOMERS_12],
-    _CUSTOMER_STATES,
+    ["fx_employees", "fx_customers_w1", "fx_customers_w2"],
+    [
+        _EMPLOYEES_K,
+        _resolved("c1", "fx_customers_w1", _TO_REP, "dw_employee_id as dw_sales_employee_id"),
+        _resolved("c2", "fx_customers_w2", _TO_REP, "dw_employee_id as dw_sales_employee_id"),
+        *_states(
+            "customers", "dw_customer_id", ["customernumber"], ("c1", "c2"),
+            [*_CUSTOMER_COLUMNS, "country", "salesrepemployeenumber", "creditlimit", "dw_sales_employee_id"], ["customername"],
+        ),
+    ],
 )
 
 _CUSTOMERS_K = _once("customers", "customernumber", "dw_customer_id", "fx_customers")
@@ -456,13 +469,13 @@ _TO_LINE = "left join productlines_k l on s.productline = l.productline"
 _PRODUCT_UPDATES = ["productname", "productline", "quantityinstock", "buyprice", "msrp", "dw_product_line_id"]
 
 
-def _product_states(first: str, second: str) -> list[tuple[str, str]]:
+def _product_states(first: str, second: str, more: Sequence[str] = ()) -> list[tuple[str, str]]:
     return [
         _LINES_K,
         _resolved("pr1", first, _TO_LINE, "dw_product_line_id"),
         _resolved("pr2", second, _TO_LINE, "dw_product_line_id"),
         *_states(
-            "products", "dw_product_id", ["productcode"], ("pr1", "pr2"), _PRODUCT_UPDATES,
+            "products", "dw_product_id", ["productcode"], ("pr1", "pr2"), [*_PRODUCT_UPDATES, *more],
             update_if="dw_product_line_id is not null", insert_if="dw_product_line_id is not null",
         ),
     ]
@@ -470,10 +483,11 @@ def _product_states(first: str, second: str) -> list[tuple[str, str]]:
 
 oracle(
     "dw_products",
-    f"dw_product_id src_productcode productname productdescription msrp:m dw_product_line_id {_AUDIT}",
+    f"""dw_product_id src_productcode productname productline productscale productvendor productdescription quantityinstock
+        buyprice:m msrp:m dw_product_line_id {_AUDIT}""",
     "select *, productcode as src_productcode, cast(null as varchar) as productdescription from products_2",
     ["fx_productlines", "fx_products_s1", "fx_products_s2"],
-    _product_states("fx_products_s1", "fx_products_s2"),
+    _product_states("fx_products_s1", "fx_products_s2", ["productscale", "productvendor"]),
 )
 
 

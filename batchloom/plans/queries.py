@@ -397,7 +397,7 @@ _AUDIT = ["src_create_timestamp", "src_update_timestamp", "dw_create_timestamp",
 @query
 def dw_offices(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _two_batches(spark, sf_dir, OFFICES, split="s")
-    return table.select("dw_office_id", "officecode", "city", "phone", "territory", *_AUDIT)
+    return table.select("dw_office_id", "officecode", *OFFICES.update_cols, *_AUDIT)
 
 
 @query
@@ -411,18 +411,15 @@ def dw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     offices = _once(spark, sf_dir, OFFICES)
     table = _two_batches(spark, sf_dir, EMPLOYEES, lambda batch: {"offices": offices}, split="s")
     return table.select(
-        "dw_employee_id", "employeenumber", "lastname", "jobtitle", "reportsto", "dw_office_id",
-        "dw_reporting_employee_id", *_AUDIT,
+        "dw_employee_id", "employeenumber", *EMPLOYEES.update_cols, "dw_reporting_employee_id", *_AUDIT
     )
 
 
 @query
 def dw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     employees = _once(spark, sf_dir, EMPLOYEES, {"offices": _once(spark, sf_dir, OFFICES)})
-    table = _two_batches(spark, sf_dir, CUSTOMERS, lambda batch: {"employees": employees})
-    return table.select(
-        "dw_customer_id", "src_customernumber", "customername", "creditlimit", "dw_sales_employee_id", *_AUDIT
-    )
+    table = _two_batches(spark, sf_dir, CUSTOMERS, lambda batch: {"employees": employees}, split="w")
+    return table.select("dw_customer_id", "src_customernumber", "customername", *CUSTOMERS.update_cols, *_AUDIT)
 
 
 def _dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,7 +497,7 @@ def dw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _once(spark, sf_dir, PRODUCTLINES)
     table = _two_batches(spark, sf_dir, PRODUCTS, lambda batch: {"productlines": lines}, split="s")
     return table.select(
-        "dw_product_id", "src_productcode", "productname", "productdescription", "msrp", "dw_product_line_id", *_AUDIT
+        "dw_product_id", "src_productcode", *PRODUCTS.update_cols, *_AUDIT
     )
 
 
