@@ -28,7 +28,7 @@ from batchloom.operators.ranking import rank_by_day
 from batchloom.operators.rollup import MONTH, accumulate, rollup_month
 from batchloom.plans import loads, summaries
 from batchloom.plans.fixtures import BATCH_1, BATCH_2, fixture, raw, staged
-from batchloom.plans.pipeline import run_batch
+from batchloom.plans.pipeline import load_table, run_batch
 from batchloom.schemas import (
     BATCH_LOG,
     CUSTOMERS,
@@ -374,14 +374,19 @@ def _two_batches(
     split: str = "b",
     options: loads.LoadOptions = loads.SCRIPT,
 ) -> DataFrame:
-    """The table after batch 1, stored as a published table would be, then after batch 2."""
-    state = _empty_table(spark, entity)
+    """The published table after both batches, loaded the way ``run_batch`` loads it."""
+    store = Store(spark, scratch_path(spark, f"load-{entity.table}"))
     for batch in (BATCH_1, BATCH_2):
-        stage = staged(spark, sf_dir, entity.table, batch, split)
-        state = loads.load_entity(entity, stage, state, dims(batch), batch, options)
-        if batch is BATCH_1:
-            state = write_scratch(state, entity.table)
-    return state
+        for table, dim in dims(batch).items():
+            _publish(store, table, dim)
+        store.replace_stage(entity.table, staged(spark, sf_dir, entity.table, batch, split))
+        load_table(store, entity, batch, options)
+    return store.read(entity.table)
+
+
+def _publish(store: Store, table: str, rows: DataFrame) -> None:
+    schema, partition = WAREHOUSE[table]
+    (store.replace if partition is None else store.replace_partitions)(table, conform(rows, schema))
 
 
 def _once(spark: SparkSession, sf_dir: str, entity: Entity, dims: dict[str, DataFrame] | None = None) -> DataFrame:
