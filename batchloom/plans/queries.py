@@ -682,8 +682,8 @@ def _facts(spark: SparkSession, sf_dir: str, batch: Batch | None = None, loose:
         {"ordernumber": "src_ordernumber", "productcode": "src_productcode"}
     )
 
-    def known(column: str, number: str, period: int, rest: int) -> Column:
-        return F.when(F.col(number) % period != rest, F.col(column)) if loose else F.col(column)
+    def known(column: str, unless: Column) -> Column:
+        return F.when(~unless, F.col(column)) if loose else F.col(column)
 
     return {
         "orders": fixture(spark, sf_dir, f"fx_orders{b1}")
@@ -691,15 +691,15 @@ def _facts(spark: SparkSession, sf_dir: str, batch: Batch | None = None, loose:
         .withColumn("src_ordernumber", F.col("dw_order_id")),
         "orderdetails": details.withColumns(
             {
-                "dw_order_id": known("src_ordernumber", "src_ordernumber", 61, 5),
-                "dw_product_id": known("src_productcode", "src_ordernumber", 50, 7),
+                "dw_order_id": known("src_ordernumber", F.col("quantityordered") == 13),
+                "dw_product_id": known("src_productcode", F.col("orderlinenumber") == 6),
             }
         ),
         "products": products.withColumns({"dw_product_id": F.col("productcode")}).withColumnRenamed(
             "productcode", "src_productcode"
         ),
         "payments": fixture(spark, sf_dir, f"fx_payments{b1}").withColumn(
-            "dw_customer_id", known("customernumber", "customernumber", 37, 3)
+            "dw_customer_id", known("customernumber", F.col("amount") > 300_000)
         ),
         "customers": fixture(spark, sf_dir, f"fx_customers{b1}").withColumnsRenamed(
             {"customernumber": "dw_customer_id", "create_timestamp": "src_create_timestamp"}
