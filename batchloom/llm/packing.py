@@ -41,7 +41,7 @@ def tokenize(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_ids:
         seen = np.zeros(size + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            for part in pieces(batch, limit=1 << 22):
+            for part in pieces(batch, limit=1 << 23):
                 ids, bounds = encode.ids(part.column("text"))
                 rows: list[tuple] = []
                 for doc, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True):
@@ -57,6 +57,7 @@ def tokenize(docs: DataFrame, tokenizer: str, size: int, end_id: int, keep_ids:
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "place", "ids"]
                 width = 8 if keep_ids else 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns[:width], types, strict=False)], names[:width])
+            pa.default_memory_pool().release_unused()  # workers live on with other stages' tasks
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return source.mapInArrow(cut, PIECES + (", ids binary" if keep_ids else ""))

@@ -2,18 +2,20 @@
 
 A text is parted at every single space between two characters that are not white space. The tokenizer's own splitting rule
 starts a new unit there in any case, so the ids of the parts, one after another, are the ids of the text. Each different
-part is encoded once per worker (the cache is emptied when it reaches its bound) and the ids are gathered with Arrow.
+part of a batch is parted into the tokenizer's units once, each different unit is encoded once per worker (the cache is
+emptied when it reaches its bound), and the ids are gathered with Arrow.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 250_000
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _LOADED: dict[str, Encoder] = {}
 
@@ -45,84 +47,83 @@ class Encoder:
         self.letters = _byte_letters()
         #: The splitting rule of the byte-level vocabulary, a fixed value.
         self.unit = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+        self.space = self.letters[ord(" ")]
         self.units: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
 
     def _unit(self, unit: str) -> bytes:
         known = self.units.get(unit)
         if known is None:
-            spelt = unit.encode().decode("latin-1").translate(self.letters)
-            known = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
+            if unit.isascii() and unit.isprintable():
+                spelt = unit.replace(" ", self.space)
+            else:
+                spelt = unit.encode().decode("latin-1").translate(self.letters)
+            known = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
             if len(self.units) >= CACHE_ENTRIES:
                 self.units.clear()
-            self.units[unit] = known
+            if len(unit) < 64:
+                self.units[unit] = known
         return known
 
     def _encode(self, text: str) -> bytes:
         return b"".join([self._unit(u) for u in self.unit.findall(text)])
 
-    def _spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space before it."""
-        found = [self.parts.get(w) for w in words]
-        missing = [i for i, f in enumerate(found) if f is None]
-        if missing:
-            room = CACHE_ENTRIES - len(self.parts)
-            if room < len(missing):
-                self.parts.clear()
-            for i in missing:
-                found[i] = self._encode(" " + words[i])
-                if len(words[i]) < 64:
-                    self.parts[words[i]] = found[i]
-        return found
+    def _spaced(self, words: list[str]) -> pa.LargeBinaryArray:
+        """Ids of each word with a space before it; no word holds a space or begins or ends with white space.
+
+        All words are parted into units together: every word begins a unit with its space, and no other unit has one.
+        """
+        if not words:
+            return pa.array([], pa.large_binary())
+        units = self.unit.findall(" " + " ".join(words))
+        coded = pa.array(units, pa.large_string()).dictionary_encode()
+        different = coded.dictionary
+        values = pa.array([self._unit(u) for u in different.to_pylist()], pa.large_binary()).take(coded.indices)
+        opens = np.asarray(pc.starts_with(different, " ")).astype(bool)[np.asarray(coded.indices)]
+        offsets = _offsets(values)[np.append(np.flatnonzero(opens), len(units))]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets), values.buffers()[2]])
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text begins (one more than texts); nulls are empty."""
         split = pc.split_pattern(pc.fill_null(texts, "").cast(pa.large_string()), " ")
         bounds = np.asarray(split.offsets).astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
         codes = np.asarray(coded.indices).astype(np.int64)
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), dtype=bool, count=len(words))
-        heads: list[str] = []
-        code_of_head: dict[str, int] = {}
-        whole = np.zeros(len(texts), dtype=bool)
-        if odd.any():
-            hit = np.concatenate(([0], np.cumsum(odd[codes])))
-            whole = hit[bounds[1:]] > hit[bounds[:-1]]
-        out_codes, out_bounds = codes, bounds
+        plain = np.asarray(pc.equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary)).astype(bool)
+        plain &= np.asarray(pc.binary_length(coded.dictionary)) > 0
+        words = coded.dictionary.to_pylist()
+        hit = np.concatenate(([0], np.cumsum(~plain[codes])))
+        whole = hit[bounds[1:]] > hit[bounds[:-1]]
         if whole.any():  # white space beside a space: part these texts by the rule itself
-            lists, base = [], 0
             index = {w: i for i, w in enumerate(words)}
+            lists = []
             for i in range(len(texts)):
                 if whole[i]:
                     own = _INNER_SPACE.split(texts[i].as_py() or "")
-                    for w in own:
-                        if w not in index:
-                            index[w] = len(words)
-                            words.append(w)
-                    lists.append(np.array([index[w] for w in own], dtype=np.int64))
+                    lists.append(np.array([index.setdefault(w, len(index)) for w in own], dtype=np.int64))
                 else:
                     lists.append(codes[bounds[i] : bounds[i + 1]])
-                base += len(lists[-1])
-            out_codes = np.concatenate(lists) if lists else codes
-            out_bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-        out_codes = out_codes.copy()
-        for i in range(len(texts)):  # the first part of a text has no space before it
-            word = words[out_codes[out_bounds[i]]]
-            if word not in code_of_head:
-                code_of_head[word] = len(heads)
-                heads.append(word)
-            out_codes[out_bounds[i]] = len(words) + code_of_head[word]
+            words = list(index)
+            plain = np.concatenate((plain, [bool(w) and " " not in w and w.strip() == w for w in words[len(plain) :]])).astype(bool)
+            codes = np.concatenate(lists)
+            bounds = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+        codes = codes.copy()
+        heads: dict[str, int] = {}  # the first part of a text has no space before it
+        for at in bounds[:-1].tolist():
+            codes[at] = len(words) + heads.setdefault(words[codes[at]], len(heads))
         used = np.zeros(len(words) + len(heads), dtype=bool)
-        used[out_codes] = True
-        wanted = np.flatnonzero(used[: len(words)])
-        values: list[bytes] = [b""] * len(words)
-        for i, v in zip(wanted, self._spaced([words[i] for i in wanted]), strict=True):
-            values[i] = v
-        values += [self._encode(h) for h in heads]
-        taken = pa.array(values, pa.large_binary()).take(pa.array(out_codes))
-        offsets = np.frombuffer(taken.buffers()[1], dtype=np.int64)[taken.offset : taken.offset + len(taken) + 1]
+        used[codes] = True
+        easy, odd = np.flatnonzero(used[: len(words)] & plain), np.flatnonzero(used[: len(words)] & ~plain)
+        where = np.zeros(len(used), dtype=np.int64)
+        where[easy] = np.arange(len(easy))
+        where[odd] = len(easy) + np.arange(len(odd))
+        where[len(words) :] = len(easy) + len(odd) + np.arange(len(heads))
+        rest = [self._encode(" " + words[i]) for i in odd] + [self._encode(h) for h in heads]
+        taken = pa.concat_arrays([self._spaced([words[i] for i in easy]), pa.array(rest, pa.large_binary())]).take(pa.array(where[codes]))
+        offsets = _offsets(taken)
         data = taken.buffers()[2]
-        flat = np.frombuffer(data, dtype="<u4")[offsets[0] // 4 : offsets[-1] // 4] if data is not None and offsets[-1] > offsets[0] else np.empty(0, dtype="<u4")
-        return flat, (offsets[out_bounds] - offsets[0]) // 4
+        flat = np.frombuffer(data, dtype="<u4")[offsets[0] // 4 : offsets[-1] // 4] if offsets[-1] > offsets[0] else np.empty(0, dtype="<u4")
+        return flat, (offsets[bounds] - offsets[0]) // 4
+
+
+def _offsets(values: pa.LargeBinaryArray) -> np.ndarray:
+    return np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
