@@ -33,6 +33,7 @@ from batchloom.sources.files import write_scratch
 MARK = "▁".encode()
 _START, _STEP, _WORD = 0xCBF29CE484222325, 0x100000001B3, (1 << 64) - 1
 _PIECES: dict[str, tuple] = {}
+PARTIAL_SUMS = 16
 
 
 def vocabulary(path: str):
@@ -202,23 +203,29 @@ def score_texts(docs: DataFrame, vocabulary_path: str, held_out: int = 1, folds:
     buckets = bucket_count(docs)
     asked = write_scratch(ask(chunks, lambda t, _: ChunkWords(t, held_out, folds, buckets).questions()), "words")
 
+    size = len(vocabulary(vocabulary_path)[1])
+
     def count(table: pa.Table) -> pa.Table:
+        """One row: counts of the pieces in the bucket's training words, the number of these words, of different ones."""
         words, total, _, _ = _gathered(table.column("data").to_pylist())
         known = np.flatnonzero(total)
-        pieces = piece_counts([words[i] for i in known], total[known], vocabulary_path)
-        own = np.flatnonzero(pieces)
-        # -1: different words, -2: words
-        return pa.table({"piece": pa.array(np.append(own, (-1, -2)), pa.int64()), "n": pa.array(np.append(pieces[own], (len(known), total.sum())), pa.int64())})
+        counts = piece_counts([words[i] for i in known], total[known], vocabulary_path)
+        return pa.table({"data": pa.array([dump(np.append(counts, (total.sum(), len(known))))], pa.binary())})
 
-    sums = asked.groupBy("bucket").applyInArrow(count, "piece bigint, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
-    found = {r["piece"]: r["n"] for r in sums.collect()}  # one row per piece of the fixed vocabulary
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size + 2, dtype=np.int64)
+        for batch in batches:
+            for data in batch.column("data").to_pylist():
+                out += load(data)
+        yield pa.RecordBatch.from_arrays([pa.array([dump(out)], pa.binary())], ["data"])
+
+    # A row per bucket is added up in a few tasks, so the driver gets PARTIAL_SUMS rows of the fixed vocabulary's size.
+    rows = asked.groupBy("bucket").applyInArrow(count, "data binary").repartition(PARTIAL_SUMS).mapInArrow(add, "data binary")
+    sums = sum((load(bytes(r["data"])) for r in rows.collect()), np.zeros(size + 2, dtype=np.int64))
+    counts = sums[:size]
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
     ends = source.where(fold != held_out).count()
-    tokens, different = found.get(-2, 0) + ends, found.get(-1, 0) + (ends > 0)
-    counts = np.zeros(len(vocabulary(vocabulary_path)[1]), dtype=np.int64)
-    for piece, n in found.items():
-        if piece >= 0:
-            counts[piece] = n
+    tokens, different = int(sums[size]) + ends, int(sums[size + 1]) + (ends > 0)
     logs, end_log = piece_logs(counts, ends, vocabulary_path)
     logs = logs.astype(np.float64)
 
@@ -233,16 +240,16 @@ def score_texts(docs: DataFrame, vocabulary_path: str, held_out: int = 1, folds:
                 own = ChunkWords(opened(row["data"]), held_out, folds, buckets)
                 count, log = own.answered({a["bucket"]: a["data"] for a in row["answers"] or ()})
                 n = len(own.doc_ids)
-                size = own.words.counts + 1
+                n_tokens = own.words.counts + 1
 
                 def summed(values, own=own, n=n):
                     return np.bincount(own.rows, weights=values[own.codes], minlength=n)
 
-                base = summed(np.log10(count + 0.5)) + np.log10(ends + 0.5) - size * np.log10(tokens + 0.5 * (different + 1))
+                base = summed(np.log10(count + 0.5)) + np.log10(ends + 0.5) - n_tokens * np.log10(tokens + 0.5 * (different + 1))
                 columns = [
                     pa.array(own.doc_ids, pa.int64()),
                     pa.array(~own.train),
-                    pa.array(size),
+                    pa.array(n_tokens),
                     pa.array(summed(count > 0).astype(np.int64) + (ends > 0)),
                     pa.array(np.full(n, tokens, dtype=np.int64)),
                     pa.array(base),
