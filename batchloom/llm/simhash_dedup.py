@@ -33,6 +33,8 @@ from batchloom.sources.files import write_scratch
 
 BITS = 64
 SAMPLE = 10_000
+#: What comparing two fingerprints inside a task costs, against shuffling one entry of the index.
+PAIR_COST = 0.005
 #: Fingerprints of one value of a partition above which it is parted further.
 CROWDED = 2_000
 
@@ -122,7 +124,7 @@ def scheme(sample: np.ndarray, total: int, radius: int) -> list[tuple[list[int],
                 if e:
                     near *= (len(group) - e + 1) / e + 1
                 share = max(float((distance <= e).mean()) if len(differ) else 0.0, near / 2.0 ** len(group))
-                cost[i, e + 1] = total * near + share * total * total / 2
+                cost[i, e + 1] = total * near + PAIR_COST * share * total * total / 2
         choices.append((*allocate(cost, radius - parts + 1), groups))
     _, thresholds, groups = min(choices, key=lambda c: c[0])
     return [(g, e) for g, e in zip(groups, thresholds, strict=True) if e >= 0]
