@@ -116,3 +116,15 @@ def test_whole_table_words(spark, sf_dir):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op8_substring_dedup"](spark, sf_dir).collect()}
     assert got == expected
     assert any(r for _, r, _ in got.values())
+
+
+def test_input_that_changes_between_runs_fails(spark):
+    """Answers belong to the chunk that asked; a chunk with other rows must not take them."""
+    from batchloom.llm.phrases import repeats
+    from batchloom.llm.substring_dedup import word_items
+
+    import pyarrow as pa
+
+    items, _ = word_items(pa.table({"doc_id": [1], "text": ["a b c d e f g h"]}))
+    with pytest.raises(KeyError):
+        repeats(items, 4, 2, 8, {})
