@@ -18,8 +18,8 @@ stay null, repeated rows and repeated items give a row each. Empty tables give n
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +33,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[ \t\n\\x0B\f\r]+"), "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once per row, however often it is used inside lambdas.
+
+    A plain column expression would be put in wherever it is named and worked out again for every element there.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingle_hashes(hashes: Column, size: int) -> Column:
-    """A hash of each run of ``size`` of the given word hashes, in order."""
-    last = F.size(hashes) - size
-    parts = lambda i: [F.get(hashes, i + k) for k in range(size)]
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*parts(i))))
+    """A hash of each run of ``size`` of the given word hashes, in order; none if there are fewer."""
+
+    def made(own: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - size, F.lit(0))), lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(size)]))
+        return F.when(F.size(own) >= size, runs)
+
+    return bound(hashes, made)
 
 
 def word_hashes(words: Column) -> Column:
@@ -50,18 +61,19 @@ def simhash(hashes: Column, lane: int) -> Column:
     mask = sum(1 << p for p in places)
     mask -= mask >> 63 << 64
     zero = F.array(*[F.lit(0).cast("bigint")] * lane)
-    added = F.aggregate(hashes, zero, lambda sums, h: F.array(*[F.get(sums, i) + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(mask)) for i in range(lane)]))
-    counted = F.transform(added, lambda s: F.array(*[F.shiftrightunsigned(s, p).bitwiseAND(F.lit((1 << lane) - 1)) for p in places]))
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(BITS - 1)),
-        F.lit(0).cast("bigint"),
-        lambda out, b: out.bitwiseOR(
-            F.when(
-                F.get(F.get(counted, (b % lane).cast("int")), F.floor(b / lane).cast("int")) * 2 > F.size(hashes),
-                F.call_function("shiftleft", F.lit(1).cast("bigint"), b),
-            ).otherwise(F.lit(0).cast("bigint"))
-        ),
-    )
+
+    def added(own: Column) -> Column:
+        return F.aggregate(own, zero, lambda sums, h: F.array(*[F.get(sums, F.lit(i)) + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(mask)) for i in range(lane)]))
+
+    def folded(sums: Column, n: Column) -> Column:
+        out = F.lit(0).cast("bigint")
+        for bit in range(BITS):
+            count = F.shiftrightunsigned(F.get(sums, F.lit(bit % lane)), bit // lane * lane).bitwiseAND(F.lit((1 << lane) - 1))
+            one = (1 << bit) - (bit // 63 << 64)
+            out = out.bitwiseOR(F.when(count * 2 > n, F.lit(one).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+        return out
+
+    return bound(hashes, lambda own: bound(added(own), lambda sums: folded(sums, F.size(own))))
 
 
 def block_ranges(blocks: int) -> list[tuple[int, int]]:
@@ -70,15 +82,22 @@ def block_ranges(blocks: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+def _under(value: Column, masks: Column, block: int) -> Column:
+    return bound(value, lambda v: F.transform(masks, lambda m: F.struct(F.lit(block).alias("block"), v.bitwiseXOR(m).alias("value"))))
+
+
 def block_values(fp: Column, blocks: int, errors: int) -> Column:
     """Structs (block, value) of a fingerprint and of all that differ from it by at most ``errors`` bits of the block."""
     out = []
     for i, (first, width) in enumerate(block_ranges(blocks)):
         value = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
-        masks = [sum(1 << b for b in chosen) for e in range(errors + 1) for chosen in combinations(range(width), e)]
-        near = [value.bitwiseXOR(F.lit(m)) for m in masks]
-        out += [F.struct(F.lit(i).alias("block"), v.cast("bigint").alias("value")) for v in near]
-    return F.array(*out)
+        if errors:
+            every = F.sequence(F.lit(0).cast("bigint"), F.lit((1 << width) - 1))
+            near = F.filter(every, lambda m: F.bit_count(m) <= errors)  # a constant, worked out when the query is planned
+            out.append(_under(value, near, i))
+        else:
+            out.append(F.array(F.struct(F.lit(i).alias("block"), value.alias("value"))))
+    return F.concat(*out)
 
 
 def bags(rows: DataFrame, keys: list[str], size: Column) -> DataFrame:
@@ -95,9 +114,8 @@ def _item_block(docs: DataFrame, items: DataFrame, shingle: int, radius: int, bl
     lane = 16 if items.agg(F.max("n")).first()[0] < 1 << 16 else 32
     of_gram = {g: items.where(F.col("gram") == g).select("item", "n", F.explode(shingle_hashes(word_hashes(F.col("words")), g)).alias("h")) for g in grams}
     wanted = {g: sorted(r["h"] for r in found.select("h").distinct().collect()) for g, found in of_gram.items()}  # one block's
-    tests = [_any_of(shingle_hashes(F.col("hashes"), g), wanted[g]) for g in grams]
-    hashed = docs.select("doc_id", "words", word_hashes(F.col("words")).alias("hashes"))
-    near = hashed.where(F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))).select("doc_id", "words", F.monotonically_increasing_id().alias("row"))
+    tests = [shares_shingle(g, wanted[g]) for g in grams if wanted[g]]
+    near = docs.where(F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))).select("doc_id", "words", F.monotonically_increasing_id().alias("row"))
     near = write_scratch(near, "near")
     windows = None
     for g in grams:
@@ -127,8 +145,12 @@ def _item_block(docs: DataFrame, items: DataFrame, shingle: int, radius: int, bl
     )
 
 
-def _any_of(hashes: Column, wanted: list[int]) -> Column:
-    return F.exists(hashes, lambda h: h.isin(wanted))
+def shares_shingle(gram: int, wanted: list[int]) -> Column:
+    """Whether ``words`` has a shingle of the set; as SQL text, in which a large set costs the driver little."""
+    run = ", ".join(f"get(own, i + {k})" for k in range(gram))
+    runs = f"transform(sequence(0, size(own) - {gram}), i -> xxhash64({run}))"
+    some = f"exists({runs}, h -> h in ({', '.join(map(str, wanted))}))"
+    return F.expr(f"get(transform(array(transform(words, w -> xxhash64(w))), own -> size(own) >= {gram} and {some}), 0)")
 
 
 def find_leaks(
