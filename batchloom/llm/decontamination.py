@@ -8,8 +8,11 @@
 3. Fingerprints are cut into ``blocks`` Hamming blocks. Items are indexed under all values within ``radius // blocks`` bits
    of their own in each block, windows are looked up under theirs: by the pigeonhole principle every pair within ``radius``
    bits meets in some block.
-4. Pairs within the radius are verified by exact similarity of weighted shingles, the weight being how often a shingle
-   stands in the text: the sum of the smaller weights over the sum of the larger. From ``similarity`` on it is a leak.
+4. Similar windows can have fingerprints further apart. ``similarity`` asks for a least number of common shingles, so windows
+   that hold at least as many places with a shingle of the item are candidates too, whatever their distance. ``radius``
+   decides by which way a pair is found, never whether.
+5. Candidates are verified by exact similarity of weighted shingles, the weight being how often a shingle stands in the
+   text: the sum of the smaller weights over the sum of the larger. From ``similarity`` on it is a leak.
 
 Words are lower-cased and parted by space, tab, newline, vertical tab, form feed and carriage return; shingles are of
 ``shingle`` words, a shorter item is one shingle of all its words. Null and empty texts and items match nothing. Null ids
@@ -109,6 +112,28 @@ def bags(rows: DataFrame, keys: list[str], size: Column) -> DataFrame:
     return rows.withColumn("gram", size).select(*keys, F.explode(spelt).alias("spelt")).groupBy(*keys, "spelt").agg(F.count("*").alias("weight"))
 
 
+def dense_windows(hits: DataFrame, gram: int, similarity: float) -> DataFrame:
+    """Windows (row, item, n, start) that hold enough places of ``hits`` (row, size, item, n, at) to be similar to the item.
+
+    Texts of t and u shingles that are ``similarity`` alike have at least (t + u) * similarity / (1 + similarity) in common.
+    """
+    size, n = F.col("size"), F.col("n")
+    shingles = F.greatest(F.least(size, n) - gram + 1, F.lit(1)) + F.greatest(n - gram + 1, F.lit(1))
+    need = F.greatest(F.ceil(shingles * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)), F.lit(1)).cast("int")
+    places = hits.groupBy("row", "size", "item", "n").agg(F.sort_array(F.collect_list("at")).alias("places")).withColumn("need", need)
+
+    def starts(own: Column) -> Column:
+        def first_is(at: Column, i: Column) -> Column:  # of the windows in which this is the first of the places
+            last = F.get(own, i + F.col("need") - 1)
+            low = F.greatest(last - n + gram, F.coalesce(F.get(own, i - 1) + 1, F.lit(0)), F.lit(0))
+            high = F.least(at, F.greatest(size - n, F.lit(0)))
+            return F.when(last.isNotNull() & (low <= high), F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+        return F.flatten(F.transform(own, first_is))
+
+    return places.where(F.size("places") >= F.col("need")).select("row", "item", "n", F.explode(bound(F.col("places"), starts)).alias("start"))
+
+
 def _item_block(docs: DataFrame, items: DataFrame, shingle: int, radius: int, blocks: int, similarity: float) -> DataFrame:
     grams = [r["gram"] for r in items.select("gram").distinct().orderBy("gram").collect()]  # at most ``shingle`` sizes
     lane = 16 if items.agg(F.max("n")).first()[0] < 1 << 16 else 32
@@ -117,21 +142,25 @@ def _item_block(docs: DataFrame, items: DataFrame, shingle: int, radius: int, bl
     tests = [shares_shingle(g, wanted[g]) for g in grams if wanted[g]]
     near = docs.where(F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))).select("doc_id", "words", F.monotonically_increasing_id().alias("row"))
     near = write_scratch(near, "near")
-    windows = None
+    windows = dense = None
     for g in grams:
         found = near.select("row", F.size("words").alias("size"), F.posexplode(shingle_hashes(word_hashes(F.col("words")), g)).alias("at", "h"))
+        held = dense_windows(found.join(of_gram[g].distinct(), "h"), g, similarity)
+        dense = held if dense is None else dense.unionByName(held)
         found = found.join(of_gram[g].select("h", "n").distinct(), "h")
         low, high = F.greatest(F.col("at") - F.col("n") + g, F.lit(0)), F.least(F.col("at"), F.greatest(F.col("size") - F.col("n"), F.lit(0)))
         spread = found.where(low <= high).select("row", "n", F.explode(F.sequence(low, high)).alias("start")).distinct()
         windows = spread if windows is None else windows.unionByName(spread).distinct()
     cut = windows.join(near, "row").select("row", "n", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
     printed = write_scratch(cut.withColumn("fp", simhash(word_hashes(F.col("words")), lane)), "windows")
-    indexed = items.select("item", "n", simhash(word_hashes(F.col("words")), lane).alias("item_fp"))
-    indexed = indexed.select("item", "n", "item_fp", F.explode(block_values(F.col("item_fp"), blocks, radius // blocks)).alias("e")).select("item", "n", "item_fp", "e.*")
+    prints = items.select("item", "n", simhash(word_hashes(F.col("words")), lane).alias("item_fp"))
+    indexed = prints.select("item", "n", "item_fp", F.explode(block_values(F.col("item_fp"), blocks, radius // blocks)).alias("e")).select("item", "n", "item_fp", "e.*")
     probes = printed.select("row", "n", "start", "fp", F.explode(block_values(F.col("fp"), blocks, 0)).alias("e")).select("row", "n", "start", "fp", "e.*")
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     pairs = probes.join(indexed, ["n", "block", "value"]).where(distance <= radius)
     pairs = pairs.select("row", "n", "start", "item", distance.alias("distance")).distinct()
+    beyond = dense.join(printed.select("row", "n", "start", "fp"), ["row", "n", "start"]).join(prints.drop("n"), "item").where(distance > radius)
+    pairs = pairs.unionByName(beyond.select("row", "n", "start", "item", distance.alias("distance")))
     meant = pairs.join(items.select("item", "gram"), "item").join(printed.select("row", "n", "start", "words"), ["row", "n", "start"])
     of_window = bags(meant.withColumnRenamed("gram", "item_gram"), ["row", "start", "item", "distance"], F.col("item_gram"))
     of_item = bags(items.withColumnRenamed("gram", "item_gram"), ["item"], F.col("item_gram")).withColumnRenamed("weight", "item_weight")

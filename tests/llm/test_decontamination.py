@@ -95,6 +95,32 @@ def test_whole_table(spark, sf_dir):
     assert got == brute(docs, items)[0] and got
 
 
+def test_similar_windows_beyond_the_radius(spark):
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdeé", k=rng.randint(2, 7))) for _ in range(2000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([40, 59, 100])))) for i in range(300)]
+    docs = []
+    for i, text in items:  # cut off at one end to the least length that still has the similarity
+        words = text.split()
+        left = 4 + -(-(len(words) - 4) * 4 // 5)
+        words = words[:left] if i % 2 else words[-left:]
+        filler = rng.choices(vocabulary, k=200) if i % 3 == 0 else []
+        docs.append((i, " ".join([*filler[:100], *words, *filler[100:]])))
+    expected, _ = brute(docs, items, radius=64)
+    assert brute(docs, items)[1] > 0 and max(d for *_, d in expected) > 14
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id, r.start, r.similarity, r.distance) for r in find_leaks(d, b).collect()), key=repr)
+    assert got == expected
+
+
+def test_whole_table_without_a_radius(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    result = QUERIES["op6_benchmark_decontamination"](spark, sf_dir)
+    got = sorted(((r.doc_id, r.item_id, r.start, r.similarity, r.distance) for r in result.collect()), key=repr)
+    assert got == brute(docs, items, radius=64)[0] and got
+
+
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
     QUERIES["op6_benchmark_decontamination"](spark, sf_dir).explain("formatted")
     plan = capsys.readouterr().out
