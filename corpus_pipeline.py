@@ -1,9 +1,9 @@
 """A training corpus from raw documents, in five stages.
 
 Every stage gets the documents that its predecessor kept, as a stored table. All stages but the last give documents with the
-same columns; null texts are treated as empty. Documents without a ``doc_id`` cannot be named by a decision: near-dedup and
-decontamination keep them. Other columns than those of ``documents`` are dropped at the first stage. Repeated rows of one
-document become one at near-dedup. Empty tables go through all stages.
+same columns; null texts are treated as empty. Near-dedup and decontamination decide on rows, by a stored key of each row:
+rows that share a ``doc_id`` or have none are judged by their own texts. Other columns than those of ``documents`` are dropped
+at the first stage. Repeated rows of one document become one at near-dedup. Empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -22,9 +22,19 @@ from batchloom.sources.files import write_scratch
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents that are not named; the names are stored first, so that Spark knows their size when it plans the join."""
-    return docs.join(write_scratch(ids.distinct(), "named").hint("shuffle_hash"), "doc_id", "left_anti").select(COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a stored ``row``, different for every row."""
+    return write_scratch(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "keyed")
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    """What the operators judge: each row under its key."""
+    return keyed.select(F.col("row").alias("doc_id"), "text")
+
+
+def _chosen(keyed: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The documents that are (not) named; the names are stored first, so that Spark knows their size when it plans the join."""
+    return keyed.join(write_scratch(rows, "named").hint("shuffle_hash"), "row", how).select(COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +43,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (three-word shingles, two bits)."""
-    found = near_duplicates(docs, 3, 2)
-    left = _without(docs, found.where("doc_id != component_id").select("doc_id"))
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    named = left.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("d"))
-    return named.select("doc_id", "d.*").unionByName(left.where("doc_id is null")).select(COLUMNS)
+    """One row of each group of near duplicates (three-word shingles, two bits): that with the smallest id, null counting as
+    the largest; of one id, that with the smallest hash of its columns."""
+    keyed = _keyed(docs)
+    found = near_duplicates(_texts(keyed), 3, 2).select(F.col("doc_id").alias("row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*COLUMNS[1:]).alias("content"), "row")
+    best = found.join(keyed.select("row", rank.alias("rank")), "row").groupBy("component_id").agg(F.min("rank").alias("best"))
+    return _chosen(keyed, best.select("best.row"), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +62,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, leaks.where("doc_id is not null").select("doc_id"))
+    keyed = _keyed(docs)
+    leaks = find_leaks(_texts(keyed), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _chosen(keyed, leaks.select(F.col("doc_id").alias("row")).distinct(), "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Every stage of the corpus pipeline against brute force on its own input."""
 
+import random
+
 import pytest
 from test_decontamination import brute as brute_leaks
 from test_packing import check
@@ -74,3 +76,24 @@ def test_run_and_edges(spark, tmp_path):
         spark.createDataFrame([(1, "a b"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
     assert sorted({r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()}, key=repr) == [1, None]
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def prose(seed, n=60):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(n))
+
+
+def stored(spark, tmp_path, rows):
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    return spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+
+def test_two_texts_under_one_id(spark, tmp_path):
+    a, b, c, d, item = (prose(i) for i in range(5))
+    docs = stored(spark, tmp_path, [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, item), (4, prose(9))])
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(got) == sorted([(1, a), (2, b), (3, c), (3, d), (4, item), (4, prose(9))])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got) == sorted([(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, prose(9))])
