@@ -97,3 +97,13 @@ def test_two_texts_under_one_id(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
     assert sorted(got) == sorted([(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, prose(9))])
+
+
+def test_null_ids_are_judged(spark, tmp_path):
+    a, b, clean, item = (prose(i) for i in range(20, 24))
+    docs = stored(spark, tmp_path, [(1, a), (None, a), (None, b), (None, b), (None, clean), (None, item)])
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (None, b), (None, clean), (None, item)], key=repr)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (None, a), (None, b), (None, b), (None, clean)], key=repr)
