@@ -3,8 +3,9 @@
 Every rule looks at one statistic of a whole text and may reject it. On a bounded sample the cost (seconds per text) and
 the selectivity (share of rejected texts) of each rule are measured where the tasks run, and the rules are ordered by
 rejections per second. A text meets the rules in that order and leaves at the first one that rejects it, so that a costly
-statistic is worked out only for texts that got so far. The order changes the cost and the name of the rule that is
-reported, never the verdict: a text is kept if no rule rejects it.
+statistic is worked out only for texts that got so far. The order changes the cost, never the verdict: a text is kept if no
+rule rejects it. The rule that is reported is the first one in declared order that rejects the text; rejected texts meet the
+rules declared before the one that stopped them for that.
 
 Null texts count as empty; texts without words are rejected by ``few_words``. A null ``doc_id`` stays null. Repeated rows
 are judged one by one, an empty table gives no rows, other columns are read only if they are named in ``keep``.
@@ -96,8 +97,20 @@ def judge(texts: Texts, rules) -> list[str | None]:
     return failed
 
 
+def first_declared(texts: Texts, failed: list[str | None], rules, cascade) -> list[str | None]:
+    """The first of ``rules``, in their own order, that rejects each text which ``cascade`` found ``failed``."""
+    declared, met = ({r.name: i for i, r in enumerate(x)} for x in (rules, cascade))
+    named = list(failed)
+    for rule in reversed(rules):
+        open_ = np.array([f is not None and declared[rule.name] < declared[f] and met[rule.name] > met[f] for f in failed], dtype=bool)
+        if open_.any():
+            for i in np.flatnonzero(open_)[np.asarray(rule.rejects(texts.take(open_)), dtype=bool)]:
+                named[i] = rule.name
+    return named
+
+
 def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: base statistics, ``base_failed``, ``kept`` and the rule that rejected it.
+    """One row per document: base statistics, ``base_failed``, ``kept`` and the first declared rule that rejects it.
 
     Columns: doc_id, those of ``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_rule.
     """
@@ -114,7 +127,8 @@ def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, keep: t
                 failed = np.full(len(texts), None, dtype=object)
                 failed[base[1]] = BASE_RULES[1].name
                 failed[base[0]] = BASE_RULES[0].name
-                failed[~base_failed] = judge(texts.take(~base_failed), cascade)
+                left = texts.take(~base_failed)
+                failed[~base_failed] = first_declared(left, judge(left, cascade), rules, cascade)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[part.column(c) for c in carried],

@@ -6,6 +6,7 @@ from itertools import permutations
 
 import numpy as np
 
+from batchloom.llm import quality_rules as module
 from batchloom.llm.quality_rules import RULES, judge, measure, ordered, quality_rules
 from batchloom.llm.queries import QUERIES
 from batchloom.llm.texts import Texts
@@ -58,6 +59,21 @@ def test_verdicts_do_not_depend_on_the_order(spark):
         assert [f is not None for f in judge(texts, rules)] == alone.tolist()
 
 
+def test_names_do_not_depend_on_the_order(spark, monkeypatch):
+    texts = ["### $$ %% || <> & * LOUD!! WORDS!! " * 9, "LOUD!! WORDS!! 1234567 1234567 1234567 " * 9, *[t for t in EDGES if t]]
+    texts = [" ".join(f"{w}{i}" if w.islower() else w + "!" * (i % 3) for i, w in enumerate(t.split())) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for rules in (RULES, RULES[::-1], RULES[3:] + RULES[:3]):
+        monkeypatch.setattr(module, "ordered", lambda *_, own=rules: own)
+        found.append(sorted((r.doc_id, r.failed_rule or "") for r in quality_rules(docs).collect()))
+    assert found[0] == found[1] == found[2]
+    both = Texts(["### ABC!! DEF!! GHI!! ".encode() * 9])
+    assert judge(both, RULES) != judge(both, RULES[::-1])
+    for rules in list(permutations(RULES))[::97]:
+        assert module.first_declared(both, judge(both, rules), RULES, rules) == judge(both, RULES)
+
+
 def test_order_is_by_rejections_per_cost(spark):
     found = ordered(RULES[:3], {RULES[0].name: (2.0, 0.5), RULES[1].name: (1.0, 0.5), RULES[2].name: (0.1, 0.0)})
     assert [r.name for r in found] == [RULES[1].name, RULES[0].name, RULES[2].name]
