@@ -108,7 +108,7 @@ def ask_anchors(items: Items, size: int, gram: int, buckets: int) -> Rows:
     counts = np.bincount(inverse, weights=often, minlength=len(own))
     _, order, bounds = by_bucket(own, buckets)
     short = _short(own[order]).view(np.uint8).reshape(-1, 8)[:, :6]
-    counts = np.minimum(counts[order], 255).astype(np.uint8)
+    counts = counts[order].astype(np.uint32)
     for b in range(buckets):
         i, j = bounds[b], bounds[b + 1]
         if i < j:
@@ -118,14 +118,14 @@ def ask_anchors(items: Items, size: int, gram: int, buckets: int) -> Rows:
 def answer_anchors(asked: list[bytes], hot: int = HOT) -> list[bytes]:
     """For each anchor asked about: 0 if it stands once, 1 if more often, 2 if it is hot."""
     rows = [load(x) for x in asked]
-    keys = np.zeros((sum(len(c) for _, c in rows), 8), dtype=np.uint8)
+    counts = np.frombuffer(b"".join(c for _, c in rows), dtype=np.uint32)
+    keys = np.zeros((len(counts), 8), dtype=np.uint8)
     keys[:, :6] = np.frombuffer(b"".join(k for k, _ in rows), dtype=np.uint8).reshape(-1, 6)
-    counts = np.frombuffer(b"".join(c for _, c in rows), dtype=np.uint8)
     _, inverse = np.unique(keys.view("<u8").ravel(), return_inverse=True)
     total = np.bincount(inverse, weights=counts)
     code = ((total > 1).astype(np.uint8) + (total > hot).astype(np.uint8))[inverse]
-    ends = np.cumsum([len(c) for _, c in rows])
-    return [dump(code[e - len(c) : e].tobytes()) for e, (_, c) in zip(ends, rows, strict=True)]
+    sizes = [len(c) // counts.itemsize for _, c in rows]
+    return [dump(code[e - n : e].tobytes()) for e, n in zip(np.cumsum(sizes), sizes, strict=True)]
 
 
 @dataclass

@@ -128,3 +128,16 @@ def test_input_that_changes_between_runs_fails(spark):
     items, _ = word_items(pa.table({"doc_id": [1], "text": ["a b c d e f g h"]}))
     with pytest.raises(KeyError):
         repeats(items, 4, 2, 8, {})
+
+
+def test_counts_of_anchors_are_true_totals():
+    import pyarrow as pa
+
+    from batchloom.llm.phrases import answer_anchors, ask_anchors
+    from batchloom.llm.routing import load
+    from batchloom.llm.substring_dedup import word_items
+
+    for times, hot in ((700, True), (100, False)):
+        items, _ = word_items(pa.table({"doc_id": [1], "text": ["w " * times]}))
+        asked = [data for _, data in ask_anchors(items, 20, 8, 4)]
+        assert [list(load(a)) for a in answer_anchors(asked, 400)] == [[2 if hot else 1]]
