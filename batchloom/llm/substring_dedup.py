@@ -1,11 +1,12 @@
-"""Removal of repeated runs of words by relative Lempel-Ziv parsing.
-
-The reference is the corpus itself, in blocks: a block holds the different phrases (see ``phrases``) that were dealt to one
-bucket, in order of their earliest occurrence, and an index from each window of ``size`` words to the first place in the
-block where it stands. Every phrase of every document is parsed against the block of its anchor, the only one that can hold
-its windows: a factor starts at the first window that has an earlier place, and grows for as long as the next window's first
-place is the next one of the reference. Where it ends, the window at the boundary is looked up again, so a new factor may
-overlap the one before. Factors have at least ``size`` words; their union are the duplicate spans.
+"""Removal of repeated runs of words by looking up windows among those with the same anchor.
+
+This replaces relative Lempel-Ziv parsing, a greedy parse of whole documents against every block of a reference: what is
+looked at are phrases (see ``phrases``) of at most 256 windows with one anchor, each against one block only. A block holds
+the different phrases that were dealt to one bucket, in order of their earliest occurrence, and an index from each window of
+``size`` words to the first place in the block where it stands. The block of its anchor is the only one that can hold a
+window. Windows with an earlier place are the duplicates. ``factors`` reports them as runs whose first places follow each
+other too; neither the lengths nor the boundaries of the runs, nor their places, decide anything. The duplicate spans are the
+union of these windows.
 
 A word is removed if a window that covers it also starts earlier (smaller ``doc_id``, or the same and an earlier start);
 windows are judged on the input. Words are parted by space, tab, newline, vertical tab, form feed and carriage return. Null
