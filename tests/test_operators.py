@@ -254,16 +254,16 @@ def test_rollup_and_accumulate(spark):
 def _day_tables(spark):
     d = dt.date(2020, 1, 15)
     orders = spark.createDataFrame(
-        [(1, 1, d, d, None, "Shipped"), (2, 1, d, None, d, "Open"), (3, 2, d, None, None, "Open")],
-        "dw_order_id bigint, dw_customer_id bigint, orderdate date, shippeddate date, cancelleddate date, status string",
+        [(1, 101, 1, d, d, None, "Shipped"), (2, 102, 1, d, None, d, "Open"), (3, 103, 2, d, None, None, "Open")],
+        "dw_order_id bigint, src_ordernumber bigint, dw_customer_id bigint, orderdate date, shippeddate date, cancelleddate date, status string",
     )
     details = spark.createDataFrame(
-        [(1, 10, 2, Decimal("1.50")), (1, 11, 1, Decimal("2.00")), (2, 10, 1, Decimal("4.00"))],
-        "dw_order_id bigint, dw_product_id bigint, quantityordered int, priceeach decimal(10,2)",
+        [(1, 101, 10, "P10", 2, Decimal("1.50")), (1, 101, 11, "P11", 1, Decimal("2.00")), (2, 102, 10, "P10", 1, Decimal("4.00"))],
+        "dw_order_id bigint, src_ordernumber bigint, dw_product_id bigint, src_productcode string, quantityordered int, priceeach decimal(10,2)",
     )
     products = spark.createDataFrame(
-        [(10, Decimal("1.00"), Decimal("3.00")), (11, Decimal("1.10"), Decimal("3.30"))],
-        "dw_product_id bigint, buyprice decimal(10,2), msrp decimal(10,2)",
+        [(10, "P10", Decimal("1.00"), Decimal("3.00")), (11, "P11", Decimal("1.10"), Decimal("3.30"))],
+        "dw_product_id bigint, src_productcode string, buyprice decimal(10,2), msrp decimal(10,2)",
     )
     payments = spark.createDataFrame(
         [(3, d, Decimal("7.00")), (3, d, Decimal("1.00")), (3, dt.date(2019, 1, 1), Decimal("9.00"))],
@@ -285,9 +285,10 @@ def test_customer_day_edges(spark):
     assert (one.cancelled_order_count, one.cancelled_order_amount, one.shipped_order_amount) == (1, Decimal("4.00"), Decimal("5.00"))
     assert (script[3].payment_amount, script[3].payment_apd, script[3].new_customer_paid_apd) == (Decimal("8.00"), 1, 0)
     assert (script[4].new_customer_apd, script[4].order_count) == (1, 0)
+    named = summaries.order_lines(orders, details, B1, natural=True)
     model = {
         r.dw_customer_id: r
-        for r in summaries.daily_customer_summary(lines, products, payments, customers, B1, summaries.MODEL).collect()
+        for r in summaries.daily_customer_summary(named, products, payments, customers, B1, summaries.MODEL).collect()
     }
     # The cancelled order's status does not say so; items are counted; an earlier payment exists.
     assert (model[1].cancelled_order_count, model[1].products_items_qty) == (0, 3)
