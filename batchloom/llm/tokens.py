@@ -4,6 +4,9 @@ A text is parted at every single space between two characters that are not white
 starts a new unit there in any case, so the ids of the parts, one after another, are the ids of the text. Each different
 part of a batch is parted into the tokenizer's units once, each different unit is encoded once per worker (the cache is
 emptied when it reaches its bound), and the ids are gathered with Arrow.
+
+The file's added tokens (an end-of-text mark, for one) have ids of their own wherever their spelling stands in a text. Texts
+that hold one are parted there first, and what lies between is encoded as texts of their own.
 """
 
 from __future__ import annotations
@@ -42,7 +45,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = {t.content: np.array([i], dtype="<u4") for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.mark = re.compile("|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         #: The splitting rule of the byte-level vocabulary, a fixed value.
@@ -84,7 +88,30 @@ class Encoder:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text begins (one more than texts); nulls are empty."""
-        split = pc.split_pattern(pc.fill_null(texts, "").cast(pa.large_string()), " ")
+        texts = pc.fill_null(texts, "")
+        marked = np.zeros(len(texts), dtype=bool)
+        for added in self.added:
+            marked |= np.asarray(pc.match_substring(texts, added)).astype(bool)
+        if not marked.any():
+            return self._plain_ids(texts)
+        between, owners, marks = [], [], []
+        for i, text in enumerate(texts.to_pylist()):
+            own = self.mark.split(text) if marked[i] else [text]
+            between += own
+            owners += [i] * len(own)
+            marks += [*(self.mark.findall(text) if marked[i] else ()), None]  # what follows each part; None ends a text
+        flat, bounds = self._plain_ids(pa.array(between, pa.large_string()))
+        out, lengths = [], np.zeros(len(texts), dtype=np.int64)
+        for i, low, high, mark in zip(owners, bounds[:-1].tolist(), bounds[1:].tolist(), marks, strict=True):
+            out.append(flat[low:high])
+            if mark is not None:
+                out.append(self.added[mark])
+            lengths[i] += high - low + (mark is not None)
+        return np.concatenate(out), np.concatenate(([0], np.cumsum(lengths)))
+
+    def _plain_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of texts without added tokens."""
+        split = pc.split_pattern(texts.cast(pa.large_string()), " ")
         bounds = np.asarray(split.offsets).astype(np.int64)
         coded = split.flatten().dictionary_encode()
         codes = np.asarray(coded.indices).astype(np.int64)
@@ -98,7 +125,7 @@ class Encoder:
             lists = []
             for i in range(len(texts)):
                 if whole[i]:
-                    own = _INNER_SPACE.split(texts[i].as_py() or "")
+                    own = _INNER_SPACE.split(texts[i].as_py())
                     lists.append(np.array([index.setdefault(w, len(index)) for w in own], dtype=np.int64))
                 else:
                     lists.append(codes[bounds[i] : bounds[i + 1]])

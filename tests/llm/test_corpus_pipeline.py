@@ -11,8 +11,6 @@ from test_simhash import plain_components
 
 import corpus_pipeline
 from batchloom.llm.quality_rules import quality_rules
-from batchloom.llm.queries import byte_level_tokenizer
-from batchloom.llm.tokens import Encoder
 from batchloom.sources.files import write_scratch
 
 
@@ -63,7 +61,7 @@ def test_decontamination(spark, sf_dir, tables):
 
 
 def test_packing(tables):
-    used, least = check(tables[5], {r.doc_id: r.text for r in tables[4]}, Encoder(byte_level_tokenizer()), 1024)
+    used, least = check(tables[5], {r.doc_id: r.text for r in tables[4]}, 1024)
     assert used <= 1.05 * least + 1
 
 
