@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from batchloom.llm.archives import archive_pages
 from batchloom.llm.chat import digests, format_chat
 from batchloom.llm.decontamination import find_leaks
+from batchloom.llm.differencing import pack_evenly
+from batchloom.llm.filter_audit import audit_filters
+from batchloom.llm.hard_negatives import mine_hard_negatives
 from batchloom.llm.lattice import score_texts
 from batchloom.llm.packing import pack
 from batchloom.llm.quality_rules import quality_rules
@@ -97,3 +100,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), 3, 2)
+
+
+@_query
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_evenly(_table(spark, sf_dir, "documents"), byte_level_tokenizer())
+
+
+@_query
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -1,0 +1,109 @@
+"""The filter audit against brute force over all orders."""
+
+import re
+from itertools import permutations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from batchloom.llm.filter_audit import WORDS, audit_filters, own_failures, positional_popcount, weighted_popcount
+from batchloom.llm.queries import QUERIES
+
+SPACE = re.compile("[^\\x20\\x09-\\x0D]+")
+
+
+def brute(docs, labels):
+    """``docs``: (doc_id, text, source); ``labels``: (doc_id, quality, toxic)."""
+    last = float("inf")
+    ids = {}
+    for d, t, _ in docs:
+        ids.setdefault(t or "", []).append(last if d is None else d)
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, x in labels if x == 1 and d is not None}
+    failed = []
+    for d, t, s in docs:
+        t = t or ""
+        w = SPACE.findall(t)
+        own = {
+            "A": len(w) < 50,
+            "B": 100 * len(set(w)) < 65 * len(w),
+            "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)),
+            "E": min(ids[t]) < (last if d is None else d),
+        }
+        failed.append((s or "", d, {k for k, v in own.items() if v}))
+    out = {}
+    for order in map("".join, permutations("ABCDE")):
+        for part in {s for s, _, _ in failed}:
+            left = [(d, f) for s, d, f in failed if s == part]
+            for step, letter in enumerate(order, 1):
+                gone = [(d, f) for d, f in left if letter in f]
+                fails = [f for s, _, f in failed if s == part and letter in f]
+                left = [(d, f) for d, f in left if letter not in f]
+                out[part, order, step] = [
+                    len(left), len(gone), len(fails) - len(gone), sum(f == {letter} for f in fails),
+                    sum(d in good for d, _ in gone), sum(d in toxic for d, _ in gone),
+                ]
+    for (part, order, step), row in out.items():
+        row.append(sum(r[1] for (p, o, s), r in out.items() if p == part and o[s - 1] == order[step - 1]))
+    return out
+
+
+def got(df):
+    return {
+        (r.part, r.filter_order, r.step): [r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley]
+        for r in df.collect()
+    }
+
+
+VARIED = " ".join(f"word{i}" for i in range(60))
+ROWS = [
+    (1, VARIED, "a"), (2, VARIED, "b"), (3, VARIED, "a"), (None, VARIED, None), (None, VARIED, None),
+    (4, "x " * 60, "a"), (5, "ABC " * 60, "a"), (6, VARIED + " 100%", "a"), (7, "", "b"), (8, None, "b"), (None, None, ""),
+    (9, "SHORT", None), (9, "SHORT", None), (9, "other #", "a"), (10, "É" * 30 + " A", "b"), (11, VARIED.replace(" ", "　"), "a"),
+    (12, VARIED.replace(" ", "\x0b"), "a"), (13, "y" * 200_000, "b"), (14, "A" + "é" * 19, "b"), (15, "A" + "é" * 18, "b"),
+]
+LABELS = [(1, 1, 0), (2, 0, 1), (3, 1, 1), (3, 0, None), (None, 1, 1), (5, None, 1), (9, 1, 0), (99, 1, 1)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_edges(spark, parts):
+    docs = spark.createDataFrame([(*r, 1, "x") for r in ROWS], "doc_id long, text string, source string, failed int, n string").repartition(parts)
+    labels = spark.createDataFrame([(*r, 2) for r in LABELS], "doc_id long, quality int, toxic int, text int")
+    assert got(audit_filters(docs, labels)) == brute(ROWS, LABELS)
+    assert audit_filters(docs.limit(0), labels).count() == 0
+    assert got(audit_filters(docs, labels.limit(0))) == brute(ROWS, [])
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    rows = [(i, VARIED if i % 3 == 0 else f"{VARIED} {i}", "a") for i in range(600)] + [(7, "same row", "b")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    assert got(audit_filters(docs, spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int"))) == brute(rows, LABELS)
+
+
+def test_whole_table(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    want = brute([(r.doc_id, r.text, r.source) for r in docs.collect()], [(r.doc_id, r.quality, r.toxic) for r in labels.collect()])
+    assert got(QUERIES["op13_filter_interaction_audit"](spark, sf_dir)) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=2000))
+def test_carry_save_counts(words):
+    plain = [sum(w >> b & 1 for w in words) for b in range(32)]
+    assert positional_popcount(np.array(words, dtype=np.uint32)).tolist() == plain
+
+
+def test_weighted_counts():
+    rng = np.random.default_rng(5)
+    words, times = rng.integers(0, 2**32, 500, dtype=np.uint32), rng.integers(1, 10**6, 500)
+    plain = [int(times[(words >> np.uint32(b) & np.uint32(1)) > 0].sum()) for b in range(32)]
+    assert weighted_popcount(words, times).tolist() == plain
+
+
+def test_words_are_truth_tables():
+    for failed in range(32):
+        assert [int(WORDS[failed]) >> s & 1 for s in range(32)] == [int(not failed & s) for s in range(32)]
+    assert own_failures(b"") == 1
