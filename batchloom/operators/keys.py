@@ -22,7 +22,12 @@ def max_id(table: DataFrame, id_col: str) -> int:
 
 
 def assign_keys(rows: DataFrame, natural_key: Sequence[str], id_col: str, start: int = 0) -> DataFrame:
-    """Number rows ``start + 1 ...`` in natural-key order.
+    """Rows numbered ``start + 1 ...`` in natural-key order; see ``assign_keys_from``."""
+    return assign_keys_from(rows, natural_key, id_col, start)[0]
+
+
+def assign_keys_from(rows: DataFrame, natural_key: Sequence[str], id_col: str, start: int) -> tuple[DataFrame, int]:
+    """Number rows ``start + 1 ...`` in natural-key order; the rows and the last number given.
 
     One range shuffle sorts the rows into ordered partitions and stores them with their
     position. Only the partition sizes (one row per partition) reach the driver; their
@@ -51,6 +56,5 @@ def assign_keys(rows: DataFrame, natural_key: Sequence[str], id_col: str, start:
     bases = stored.sparkSession.createDataFrame(table)
     # One row per shuffle partition, so the broadcast never grows with the data.
     numbered = stored.join(F.broadcast(bases), _PART)
-    return numbered.select(
-        *[F.col(c) for c in rows.columns], (F.col(_BASE) + F.col(_POS) + F.lit(1)).alias(id_col)
-    )
+    ids = (F.col(_BASE) + F.col(_POS) + F.lit(1)).alias(id_col)
+    return numbered.select(*[F.col(c) for c in rows.columns], ids), start + sum(n for _, n in sizes)

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from batchloom.functions import first_of_month
 from batchloom.operators.control import Batch
 from batchloom.operators.history import scd2, updated_in
-from batchloom.operators.keys import assign_keys, max_id
+from batchloom.operators.keys import assign_keys_from, max_id
 from batchloom.operators.lookup import link_parent, lookup
-from batchloom.operators.merge import merge_update, new_rows, reject_null_keys, require_unique
+from batchloom.operators.merge import matched_keys, merge_update, reject_null_keys, require_unique
 from batchloom.schemas import EMPLOYEES, PAYMENTS, Entity
 from batchloom.sources.files import write_scratch
 
@@ -102,19 +102,24 @@ def _matched(entity: Entity, rows: DataFrame, path: str, options: LoadOptions) -
 def insert_rows(
     entity: Entity,
     rows: DataFrame,
-    target: DataFrame,
+    known: DataFrame,
     batch: Batch,
-    options: LoadOptions = SCRIPT,
-    last_id: int | None = None,
-) -> DataFrame:
-    """New-key rows, keyed after the target's highest id (``last_id`` if ``target`` is only a part) and stamped."""
-    start = max_id(target, entity.id_col) if last_id is None else last_id
-    fresh = _matched(entity, new_rows(rows, target, entity.dw_key), "insert", options)
-    keyed = assign_keys(fresh, entity.dw_key, entity.id_col, start)
+    options: LoadOptions,
+    last_id: int,
+) -> tuple[DataFrame, int]:
+    """Rows whose key is not among the ``known`` ones, keyed after ``last_id`` and stamped; and the last id given."""
+    fresh = _matched(entity, rows.join(known.select(*entity.dw_key), list(entity.dw_key), "left_anti"), "insert", options)
+    keyed, last_id = assign_keys_from(fresh, entity.dw_key, entity.id_col, last_id)
     stamped = keyed.withColumns(
         {"dw_create_timestamp": batch.run_col, "dw_update_timestamp": F.lit(None).cast("timestamp"), **_batch_columns(batch)}
     )
-    return stamped.select(*entity.schema.names)
+    return stamped.select(*entity.schema.names), last_id
+
+
+def known_keys(entity: Entity, rows: DataFrame, target: DataFrame) -> DataFrame:
+    """The keys of these rows that the target holds, with their month where it has one: one scan of its keys, stored."""
+    carry = [entity.partition] if entity.partition else []
+    return write_scratch(matched_keys(rows.drop(*carry), target, entity.dw_key, carry), f"known-{entity.table}")
 
 
 def update_rows(
@@ -147,7 +152,8 @@ def load_entity(
 ) -> DataFrame:
     """The warehouse table after the batch: known keys updated, new keys inserted with dense ids."""
     rows = resolved(entity, stage, dims, options)
-    fresh = insert_rows(entity, rows, target, batch, options)
+    known = known_keys(entity, rows, target)
+    fresh, _ = insert_rows(entity, rows, known, batch, options, max_id(target, entity.id_col))
     if entity.append_only or options.insert_only:
         kept = target
     else:

@@ -12,12 +12,23 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from batchloom.functions import first_of_month
 from batchloom.operators.control import Batch, close_batch, open_batch
 from batchloom.operators.history import scd2, updated_in
-from batchloom.operators.keys import max_id
-from batchloom.operators.merge import matched_keys, replace_by_key
+from batchloom.operators.merge import replace_by_key
+from batchloom.operators.ranking import first_day
 from batchloom.plans import summaries
-from batchloom.plans.loads import MODEL, SCRIPT, LoadOptions, insert_rows, link_managers, resolved, update_rows
+from batchloom.plans.loads import (
+    MODEL,
+    SCRIPT,
+    UNDATED,
+    LoadOptions,
+    insert_rows,
+    known_keys,
+    link_managers,
+    resolved,
+    update_rows,
+)
 from batchloom.schemas import EMPLOYEES, ENTITIES, STAGE, WAREHOUSE, Entity
 from batchloom.sources.files import scratch_scope, write_scratch
 from batchloom.sources.landing import read_landing, write_landing
@@ -38,7 +49,7 @@ class Way:
     """One of the two ways of running a batch: options per entity, day rules, histories and months.
 
     ``reopen_*`` give the condition under which a closed version gets its successor at once. ``*_months`` take the
-    daily rows and the month rows from the batch's month on.
+    daily rows and the month rows from the batch's month on; ``adds_months`` says that they add to the month rows.
     """
 
     loads: Mapping[str, LoadOptions]
@@ -47,6 +58,7 @@ class Way:
     reopen_products: Callable[[Batch], Column | None]
     customer_months: Callable[[DataFrame, DataFrame, Batch], DataFrame]
     product_months: Callable[[DataFrame, DataFrame, Batch], DataFrame]
+    adds_months: bool = False
 
 
 def _added(step):
@@ -62,7 +74,6 @@ SCRIPT_WAY = Way(
     summaries.recompute_customer_months,
     summaries.recompute_product_months,
 )
-#: Months are added to, so a batch must not be repeated.
 MODEL_WAY = Way(
     MODEL,
     summaries.MODEL,
@@ -70,6 +81,7 @@ MODEL_WAY = Way(
     _next_batch,
     _added(summaries.accumulate_customer_months_model),
     _added(summaries.accumulate_product_months_model),
+    adds_months=True,
 )
 
 
@@ -87,44 +99,80 @@ def extract_to_stage(store: Store, landing: str, table: str, source: DataFrame,
 def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions = SCRIPT) -> None:
     """Apply a stage table to its warehouse table.
 
-    Partitioned tables rewrite only the months that hold changed or new rows; which months
-    these are (one value per month) is all the driver learns.
+    The batch is classified once: its known keys are found in one scan of the target's keys, stored, and both the insert and the
+    update read them. Of a table stored by month only the months that can hold one of the keys are scanned, and only those
+    that hold changed or new rows are rewritten; which months these are (one value per month) is all the driver learns.
+    The highest id comes from the table's record and goes back into it.
     """
-    stage, target = store.read_stage(entity.table), store.read(entity.table)
+    stage = store.read_stage(entity.table)
     if stage.isEmpty():
         return
     dims = {ref.table: store.read(ref.table) for ref in entity.references}
     rows = resolved(entity, stage, dims, options)
-    last_id = max_id(target, entity.id_col)
+    last_id = store.highest_id(entity.table, entity.id_col)
     month = entity.partition
-    if month and not entity.partition_from and not options.keep_unmatched:
-        # The month comes from the parent row, so a known key can only be in the months of the batch.
-        months = [r[0] for r in rows.select(month).distinct().collect()]
-        target = target.where(F.col(month).isin([m for m in months if m is not None]))
-    fresh = insert_rows(entity, rows, target, batch, options, last_id)
-    if entity.append_only or (options.insert_only and entity.partition):
-        store.append(entity.table, fresh)
+    if month is None:
+        target = store.read(entity.table)
+    else:
+        target = store.read(entity.table, only=_months_to_scan(store, entity, rows, options))
+    known = known_keys(entity, rows, target)
+    fresh, last_id = insert_rows(entity, rows, known, batch, options, last_id)
+    facts = {"max_id": {entity.id_col: last_id}}
+    if entity.append_only or (options.insert_only and month):
+        store.append(entity.table, fresh, facts)
         return
-    if entity.partition is None:
+    if month is None:
         merged = update_rows(entity, rows, target, batch, options).unionByName(fresh)
-        store.replace(entity.table, link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged)
+        store.replace(entity.table, link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged, facts)
         return
-    known = matched_keys(rows, target, entity.dw_key, [month]).select(month)
-    touched = [r[0] for r in known.union(fresh.select(month)).distinct().collect()]
-    updated = update_rows(entity, rows, target.where(F.col(month).isin(touched)), batch, options)
-    store.replace_partitions(entity.table, updated.unionByName(fresh))
+    touched = [r[0] for r in known.select(month).union(fresh.select(month)).distinct().collect()]
+    changing = store.read(entity.table, only=[store.part_name(entity.table, m) for m in touched])
+    updated = update_rows(entity, rows, changing, batch, options)
+    store.replace_partitions(entity.table, updated.unionByName(fresh), facts=facts)
+
+
+def _months_to_scan(store: Store, entity: Entity, rows: DataFrame, options: LoadOptions) -> list[str]:
+    """The months of a table that can hold a known key of these rows."""
+    names = store.holding(entity.table, rows)
+    if entity.partition_from or options.keep_unmatched:
+        return names
+    # The month comes from the parent row, so a known key can only be in the months of the batch.
+    months = {store.part_name(entity.table, r[0]) for r in rows.select(entity.partition).distinct().collect()}
+    return [n for n in names if n in months]
 
 
 def load_history(
     store: Store, table: str, entity: DataFrame, key: str, tracked: str, batch: Batch, reopen: Column | None = None
 ) -> None:
-    """Rewrite the active partition and add the rows this batch closed; older closed rows stay put."""
-    history = store.read(table)
-    open_part = history.where(F.col("update_etl_batch_no").isNull() | (F.col("update_etl_batch_no") == batch.no))
-    after = write_scratch(scd2(open_part, entity, key, tracked, batch, reopen=reopen), table)
-    store.replace_partitions(table, after)
-    if after.where("update_etl_batch_no is null").isEmpty():
-        store.drop_partition(table, None)  # no row is active any more, so the write did not touch their partition
+    """Bring a history up to date with the entities that changed, in the ranges of ids they fall into.
+
+    Looked at are the entities stamped by this batch or by one since the history's last, and those that an earlier batch closed
+    without a successor. Entities without batch stamps, and those of a history without a record, are all looked at. A batch that
+    is repeated builds on the state before it.
+    """
+    base = store.base(table, batch.no) or store.version(table)
+    looked_at, applied = entity, base.facts.get("applied")
+    if applied and "etl_batch_no" in entity.columns:
+        stamped = F.coalesce(F.col("etl_batch_no") >= min(applied[-1] + 1, batch.no), F.lit(False))
+        looked_at = entity.where(stamped)
+        # What a batch left without a successor is opened by the next one, so only the newest closed rows can be waiting.
+        closed = max((n for n in map(_closed_by, base.parts) if n is not None and n < batch.no), default=None)
+        if closed is not None:
+            waiting = store.read(table, at=base, only=[n for n in base.parts if _closed_by(n) == closed]).select(key).distinct()
+            looked_at = looked_at.unionByName(entity.where(~stamped).join(waiting, key, "left_semi"))
+    stamps = [c for c in ("etl_batch_no", "src_create_timestamp", "src_update_timestamp") if c in entity.columns]
+    looked_at = write_scratch(looked_at.select(key, tracked, *stamps), f"changed-{table}")
+    touched = [store.part_name(table, None, r[0]) for r in looked_at.select(store.id_range(key)).distinct().collect()]
+    touched += [n for n in base.parts if "/" not in n and _closed_by(n) is None]  # active rows from before there were ranges
+    active = store.read(table, at=base, only=touched)
+    after = write_scratch(scd2(active, looked_at, key, tracked, batch, reopen=reopen), table)
+    store.replace_partitions(table, after, also=touched, base=base, batch_no=batch.no)
+
+
+def _closed_by(part: str) -> int | None:
+    """The batch that closed the rows of a history's part; None for active rows."""
+    value = part.split("/")[0].split("=")[1]
+    return int(value) if value.isdigit() else None
 
 
 def load_daily(store: Store, table: str, daily: DataFrame, key: str, batch: Batch) -> None:
@@ -138,24 +186,54 @@ def load_daily(store: Store, table: str, daily: DataFrame, key: str, batch: Batc
     store.replace_partitions(table, replace_by_key(kept, fresh, ["summary_date", key]))
 
 
-def load_monthly(store: Store, table: str, daily_table: str, step, batch: Batch) -> None:
-    """Bring the months from the batch's month on up to date; the script way recomputes them."""
-    months = step(store.read(daily_table, since=batch.date), store.read(table, since=batch.date), batch)
-    store.replace_partitions(table, months)
+def load_monthly(store: Store, table: str, daily_table: str, step, batch: Batch, adds: bool = False) -> None:
+    """Bring the months from the batch's month on up to date; the script way recomputes them.
+
+    With ``adds`` the step adds to the months, so it is applied to the state without this batch: the record of the table
+    lists the batches that were added. A batch that other batches have followed is not added again.
+    """
+    base = store.base(table, batch.no) if adds else None
+    if adds and base is None:
+        return
+    months = step(store.read(daily_table, since=batch.date), store.read(table, since=batch.date, at=base), batch)
+    store.replace_partitions(table, months, base=base, batch_no=batch.no if adds else None)
+
+
+def load_first_payments(store: Store, batch: Batch) -> DataFrame:
+    """Fold the batch's payments into the carried first payment day of each customer; the state after it.
+
+    Read are the months of the payments staged by this batch and the ranges of their customers. A store without the state
+    builds it once from all payments. Unknown customers are one customer without an id.
+    """
+    table = "first_payments"
+    if store.version(table).parts:
+        stage = store.read_stage("payments").select(F.coalesce(first_of_month("paymentdate"), F.lit(UNDATED)).alias("month"))
+        months = [store.part_name("payments", r[0]) for r in stage.distinct().collect()]
+        paid = store.read("payments", only=months).where(F.col("etl_batch_no") == batch.no)
+    else:
+        paid = store.read("payments")
+    first = write_scratch(first_day(paid, "dw_customer_id", "paymentdate", "first_paid"), table)
+    touched = [store.part_name(table, r[0]) for r in first.select(store.id_range("dw_customer_id")).distinct().collect()]
+    if touched:
+        folded = store.read(table, only=touched).unionByName(first)
+        store.replace_partitions(table, first_day(folded, "dw_customer_id", "first_paid", "first_paid"))
+    return store.read(table)
 
 
 def load_customer_summaries(store: Store, lines: DataFrame, batch: Batch, way: Way = SCRIPT_WAY) -> None:
-    # A first payment is the first of all, so marking it needs the earlier months, too.
-    payments = store.read("payments", since=None if way.rules.first_payment else batch.date)
-    days = summaries.daily_customer_summary(lines, store.read("products"), payments, store.read("customers"), batch, way.rules)
+    first = load_first_payments(store, batch) if way.rules.first_payment else None
+    payments = store.read("payments", since=batch.date)
+    days = summaries.daily_customer_summary(
+        lines, store.read("products"), payments, store.read("customers"), batch, way.rules, first
+    )
     load_daily(store, "daily_customer_summary", days, "dw_customer_id", batch)
-    load_monthly(store, "monthly_customer_summary", "daily_customer_summary", way.customer_months, batch)
+    load_monthly(store, "monthly_customer_summary", "daily_customer_summary", way.customer_months, batch, way.adds_months)
 
 
 def load_product_summaries(store: Store, lines: DataFrame, batch: Batch, way: Way = SCRIPT_WAY) -> None:
     days = summaries.daily_product_summary(lines, store.read("products"), batch, way.rules)
     load_daily(store, "daily_product_summary", days, "dw_product_id", batch)
-    load_monthly(store, "monthly_product_summary", "daily_product_summary", way.product_months, batch)
+    load_monthly(store, "monthly_product_summary", "daily_product_summary", way.product_months, batch, way.adds_months)
 
 
 def _side_by_side(chains: Sequence[Sequence[Callable[[], None]]]) -> None:

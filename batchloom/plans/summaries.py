@@ -124,12 +124,16 @@ def daily_customer_summary(
     customers: DataFrame,
     batch: Batch,
     rules: DayRules = SCRIPT,
+    first_payments: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (day, customer) with order, cancel, ship, payment and new-customer measures.
 
     ``lines`` are the ``order_lines`` of the batch. They are reduced per order for the counts and amounts of all three order events, and per
     (day, customer, product) for the product measures, so the distinct counts become plain sums
     over pre-aggregated rows. Everything meets in a single grouping by (day, customer).
+
+    Rules that mark a customer's first payment find its day in ``first_payments`` (dw_customer_id, first_paid), or, without it, in
+    ``payments``, which must then be all payments.
     """
     ordered, cancelled, shipped = _since("orderdate", batch), _cancelled(batch, rules), _shipped(batch)
     customer = "dw_customer_id"
@@ -179,7 +183,8 @@ def daily_customer_summary(
     )
     if rules.first_payment:
         # Payments without a known customer are ranked together, as one customer.
-        first = first_day(payments, customer, "paymentdate", "first_paid").withColumnRenamed(customer, "__payer")
+        first = first_day(payments, customer, "paymentdate", "first_paid") if first_payments is None else first_payments
+        first = first.withColumnRenamed(customer, "__payer")
         paid = paid.join(first, paid[customer].eqNullSafe(first["__payer"]), "left").withColumn(
             "first", F.when(F.col("summary_date") == F.col("first_paid"), F.lit(1)).otherwise(F.lit(0))
         ).drop("first_paid", "__payer")

@@ -276,7 +276,7 @@ MONTHLY_PRODUCT = columns(
     + _MONTH_BATCH + ", start_of_the_month_date date"
 )
 
-# Warehouse table -> (schema, physical partition column or None for whole-table snapshots).
+# Warehouse table -> (schema, column it is stored by, or None).
 WAREHOUSE: dict[str, tuple[T.StructType, str | None]] = {
     **{name: (e.schema, e.partition) for name, e in ENTITIES.items()},
     "customer_history": (CUSTOMER_HISTORY, "update_etl_batch_no"),
@@ -287,3 +287,18 @@ WAREHOUSE: dict[str, tuple[T.StructType, str | None]] = {
     "monthly_product_summary": (MONTHLY_PRODUCT, "start_of_the_month_date"),
     "batch_control_log": (BATCH_LOG, None),
 }
+
+# Carried state that is no table of the warehouse: the first payment day of every customer.
+STATE: dict[str, tuple[T.StructType, str | None]] = {
+    "first_payments": (columns("dw_customer_id bigint, first_paid date"), None),
+}
+
+# Tables whose rows are stored by range of an id, so that a batch rewrites only the ranges it touches.
+RANGED: dict[str, str] = {
+    "customer_history": "dw_customer_id",
+    "product_history": "dw_product_id",
+    "first_payments": "dw_customer_id",
+}
+
+# The key column whose least and largest value is recorded for each month of a fact table.
+RANGE_KEYS: dict[str, str] = {e.table: e.dw_key[0] for e in ENTITIES.values() if e.partition}

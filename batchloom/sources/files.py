@@ -35,6 +35,25 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """Write one small file; unless ``replace`` is set, a file that is there already is an error."""
+    fs, p = _filesystem(spark, path)
+    out = fs.create(p, replace)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _filesystem(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 #: Written by this library after a Spark write has returned; clusters may switch Spark's own marker off.
 _RECORD = "_committed"
 
@@ -43,10 +62,14 @@ class UncommittedError(RuntimeError):
     """Folders hold data, but no record says that any of it is complete."""
 
 
-def commit(spark: SparkSession, path: str) -> None:
-    """Record that the folder's write is complete."""
-    fs, p = _filesystem(spark, f"{path}/{_RECORD}")
-    fs.create(p, True).close()
+def commit(spark: SparkSession, path: str, text: str = "") -> None:
+    """Record that the folder's write is complete, with what the writer knows of it."""
+    write_text(spark, f"{path}/{_RECORD}", text, replace=True)
+
+
+def commit_text(spark: SparkSession, path: str) -> str:
+    """What the writer of a committed folder recorded."""
+    return read_text(spark, f"{path}/{_RECORD}") if exists(spark, f"{path}/{_RECORD}") else ""
 
 
 def committed(spark: SparkSession, path: str) -> bool:

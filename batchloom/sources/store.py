@@ -1,93 +1,239 @@
 """Warehouse and stage tables on parquet.
 
-Small keyed tables are whole snapshots: every publish is a new folder and readers take the
-newest committed one, so a failed write changes nothing. Large tables are partitioned and only
-the partitions a batch touches are replaced.
+Small keyed tables are whole snapshots: every publish is a new folder and readers take the newest committed one. Large tables
+are stored in parts, by month or by range of ids. Every write goes into a folder of its own, and a version record,
+written last, says which folders make up the table (see ``versions``). Either way a publish becomes visible as a whole,
+a write that fails changes nothing, and parts a batch does not touch keep their files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom.functions import empty_table
-from batchloom.schemas import STAGE, WAREHOUSE
-from batchloom.sources.files import commit, delete, list_names, next_number, numbered
+from batchloom.operators.keys import max_id
+from batchloom.schemas import RANGE_KEYS, RANGED, STAGE, STATE, WAREHOUSE
+from batchloom.sources import versions
+from batchloom.sources.files import commit, commit_text, delete, list_names, next_number, numbered
+from batchloom.sources.versions import Version
+
+TABLES = {**WAREHOUSE, **STATE}
+_RANGE = "id_range"
+_WRITE = "w="
+#: Parts whose key ranges are compared in one pass over a batch's keys.
+_RANGES_AT_ONCE = 500
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``range_size`` ids make one part of the tables that are stored by ranges of ids."""
+
+    def __init__(self, spark: SparkSession, root: str, range_size: int = 1 << 20):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.range_size = range_size
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
 
     def _newest(self, folder: str, schema: T.StructType) -> DataFrame:
-        versions = numbered(self.spark, folder, "v=")
-        if not versions:
+        found = numbered(self.spark, folder, "v=")
+        if not found:
             return empty_table(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{folder}/v={versions[-1]}")
+        return self.spark.read.schema(schema).parquet(f"{folder}/v={found[-1]}")
+
+    # --- parts ---------------------------------------------------------------------------------
+
+    @staticmethod
+    def part_columns(table: str) -> list[str]:
+        """The columns a table is stored by; none for a snapshot. The range of ids is no column of the table."""
+        partition = TABLES[table][1]
+        return [*([partition] if partition else []), *([_RANGE] if table in RANGED else [])]
+
+    @staticmethod
+    def part_name(table: str, *values: object) -> str:
+        """The name of a part: a value for each of ``part_columns``, None for NULL."""
+        columns = Store.part_columns(table)
+        return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(columns, values, strict=True))
+
+    def id_range(self, id_col: str) -> Column:
+        """The range of ids a row belongs to."""
+        return F.floor(F.col(id_col) / F.lit(self.range_size)).cast("bigint")
+
+    def version(self, table: str) -> Version:
+        """The table's newest version; tables written before there were records consist of the folders found."""
+        folder = self._folder(table)
+        found = versions.newest(self.spark, folder)
+        if found is not None:
+            return found
+        first = self.part_columns(table)[0]
+        return Version(0, {name: (name,) for name in list_names(self.spark, folder) if name.startswith(f"{first}=")})
 
-    def read(self, table: str, since: dt.date | None = None) -> DataFrame:
+    def base(self, table: str, batch_no: int) -> Version | None:
+        """The version a batch builds on: the newest one, or, if the batch is the last that was applied, the state before it.
+
+        None if the batch was applied before another one, so that it cannot be applied again.
+        """
+        version = self.version(table)
+        applied = version.facts.get("applied", [])
+        if batch_no not in applied:
+            return version
+        before = version.before()
+        if applied[-1] != batch_no or before is None:
+            return None
+        facts = {k: v for k, v in version.facts.items() if k not in ("before", "max_id")}
+        return Version(version.number, before, {**facts, "applied": applied[:-1]})
+
+    def _parts_in(self, table: str, folder: str) -> list[str]:
+        """The parts that a write has made."""
+        found = [""]
+        for column in self.part_columns(table):
+            found = [f"{name}/{n}".lstrip("/") for name in found for n in list_names(self.spark, f"{folder}/{name}".rstrip("/")) if n.startswith(f"{column}=")]
+        return found
+
+    # --- reading -------------------------------------------------------------------------------
+
+    def read(self, table: str, since: dt.date | None = None, only: Iterable[str] | None = None, at: Version | None = None) -> DataFrame:
         """Current state; an empty table with the declared schema before the first publish.
 
-        ``since`` limits a table stored by month to the months from that day's on, and only their
-        folders are listed.
+        For tables stored in parts: ``since`` limits a table stored by month to the months from that day's on, ``only`` to the named
+        parts; no other folders are listed. ``at`` reads another version than the newest.
         """
-        schema, partition = WAREHOUSE[table]
+        schema, partition = TABLES[table]
         folder = self._folder(table)
-        if partition is None:
+        if not self.part_columns(table):
             return self._newest(folder, schema)
-        # Partition folders appear when a write commits.
-        parts = [name for name in list_names(self.spark, folder) if name.startswith(f"{partition}=")]
+        version = self.version(table) if at is None else at
+        wanted = None if only is None else set(only)
+        names = [n for n in version.parts if wanted is None or n in wanted]
         if since is not None:
-            parts = [name for name in parts if name.removeprefix(f"{partition}=") >= str(since.replace(day=1))]
-        if not parts:
+            names = [n for n in names if n.split("/")[0].removeprefix(f"{partition}=") >= str(since.replace(day=1))]
+        return self._folders(table, [f for n in names for f in version.parts[n]])
+
+    def _folders(self, table: str, folders: Sequence[str]) -> DataFrame:
+        schema = TABLES[table][0]
+        # Folders from before there were records have one level less and are read apart.
+        kinds = [[f for f in folders if f.startswith(_WRITE)], [f for f in folders if not f.startswith(_WRITE)]]
+        base = self._folder(table)
+        found = [
+            self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in own]).select(*schema.names)
+            for own in kinds
+            if own
+        ]
+        if not found:
             return empty_table(self.spark, schema)
-        paths = [folder] if since is None else [f"{folder}/{name}" for name in parts]
-        found = self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
-        return found.select(*schema.names)
+        return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+    def highest_id(self, table: str, id_col: str) -> int:
+        """The table's highest id, 0 when it is empty: from its record if the last writer knew it, else by reading the ids."""
+        if self.part_columns(table):
+            known = self.version(table).facts.get("max_id", {}).get(id_col)
+        else:
+            folder = self._folder(table)
+            found = numbered(self.spark, folder, "v=")
+            known = json.loads(commit_text(self.spark, f"{folder}/v={found[-1]}") or "{}").get("max_id", {}).get(id_col) if found else 0
+        return max_id(self.read(table), id_col) if known is None else known
 
-    def _publish(self, df: DataFrame, folder: str) -> None:
+    def holding(self, table: str, rows: DataFrame) -> list[str]:
+        """The parts that can hold a key of these rows, by the key ranges in the table's record; all parts without ranges are among them.
+
+        One pass over the rows' keys; at most the names of the parts reach the driver.
+        """
+        version, key = self.version(table), RANGE_KEYS[table]
+        ranges = version.facts.get("ranges", {})
+        open_, bounded = [], []
+        for name, folders in version.parts.items():
+            own = [ranges.get(f) for f in folders]
+            if None in own:
+                open_.append(name)
+            elif own := [r for r in own if r]:
+                bounded.append((name, min(r[0] for r in own), max(r[1] for r in own)))
+        for start in range(0, len(bounded), _RANGES_AT_ONCE):
+            parts = bounded[start : start + _RANGES_AT_ONCE]
+            every = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(a).alias("least"), F.lit(b).alias("most")) for n, a, b in parts])
+            hit = F.filter(every, lambda p: F.col(key).between(p["least"], p["most"]))
+            open_ += [r[0] for r in rows.select(F.explode(F.transform(hit, lambda p: p["name"]))).distinct().collect()]
+        return open_
+
+    # --- publishing ----------------------------------------------------------------------------
+
+    def _publish(self, df: DataFrame, folder: str, facts: Mapping[str, object] | None = None) -> None:
         path = f"{folder}/v={next_number(self.spark, folder, 'v=')}"
         df.write.parquet(path)
-        commit(self.spark, path)
+        commit(self.spark, path, json.dumps(facts) if facts else "")
 
-    def replace(self, table: str, df: DataFrame) -> None:
+    def replace(self, table: str, df: DataFrame, facts: Mapping[str, object] | None = None) -> None:
         """Publish a new snapshot; the old one stays current until the write has committed."""
-        schema, partition = WAREHOUSE[table]
-        if partition is not None:
-            raise ValueError(f"{table} is partitioned: use replace_partitions or append")
-        self._publish(df.select(*schema.names), self._folder(table))
-
-    def replace_partitions(self, table: str, df: DataFrame) -> None:
-        """Replace exactly the partitions that occur in ``df``, whose rows must be complete for them."""
-        self._write_partitions(table, df, "overwrite")
-
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to a partitioned table."""
-        self._write_partitions(table, df, "append")
-
-    def _write_partitions(self, table: str, df: DataFrame, mode: str) -> None:
-        schema, partition = WAREHOUSE[table]
-        # Rebalancing lets adaptive execution split a large partition over several tasks and files.
-        (
-            df.select(*schema.names)
-            .hint("rebalance", partition)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self._folder(table))
-        )
-
-    def drop_partition(self, table: str, value: object) -> None:
-        """Remove the rows stored under one value of the partition column (None: NULL)."""
-        partition = WAREHOUSE[table][1]
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        delete(self.spark, f"{self._folder(table)}/{partition}={name}")
+        if self.part_columns(table):
+            raise ValueError(f"{table} is stored in parts: use replace_partitions or append")
+        self._publish(df.select(*TABLES[table][0].names), self._folder(table), facts)
+
+    def replace_partitions(
+        self,
+        table: str,
+        df: DataFrame,
+        also: Iterable[str] = (),
+        base: Version | None = None,
+        batch_no: int | None = None,
+        facts: Mapping[str, object] | None = None,
+    ) -> None:
+        """Replace exactly the parts that occur in ``df``, whose rows must be complete for them, and those of ``also``.
+
+        ``base``: the version to build on instead of the newest (see ``base()``). ``batch_no`` is recorded as the last batch applied,
+        with the state before it.
+        """
+        self._write_parts(table, df, set(also), base, batch_no, facts, keep=False)
+
+    def append(self, table: str, df: DataFrame, facts: Mapping[str, object] | None = None) -> None:
+        """Add rows to a table stored in parts."""
+        self._write_parts(table, df, set(), None, None, facts, keep=True)
+
+    def _write_parts(self, table, df, also, base, batch_no, facts, keep) -> None:
+        schema = TABLES[table][0]
+        columns, folder = self.part_columns(table), self._folder(table)
+        newest = self.version(table)
+        base = newest if base is None else base
+        write = f"{_WRITE}{self._next_write(folder, newest)}"
+        rows = df.select(*schema.names)
+        if table in RANGED:
+            rows = rows.withColumn(_RANGE, self.id_range(RANGED[table]))
+        # Rebalancing lets adaptive execution split a large part over several tasks and files.
+        rows.hint("rebalance", *columns).write.partitionBy(*columns).parquet(f"{folder}/{write}")
+        made = {name: f"{write}/{name}" for name in self._parts_in(table, f"{folder}/{write}")}
+        if not made and not also:
+            return
+        parts = {name: own for name, own in base.parts.items() if name not in also and (keep or name not in made)}
+        for name, own in made.items():
+            parts[name] = (*parts.get(name, ()), own)
+        known = dict(facts or {})
+        if table in RANGE_KEYS:
+            old = base.facts.get("ranges", {})
+            kept = {f: old[f] for own in parts.values() for f in own if f in old}
+            known["ranges"] = {**kept, **self._key_ranges(table, list(made.items()))}
+        if batch_no is not None:
+            known["applied"] = [*base.facts.get("applied", []), batch_no]
+            known["before"] = {name: list(own) for name, own in base.parts.items()}
+        elif "applied" in base.facts:
+            known["applied"] = base.facts["applied"]
+        versions.write_record(self.spark, folder, Version(newest.number + 1, parts, known))
+
+    def _next_write(self, folder: str, newest: Version) -> int:
+        """Above every write and every record, complete or not."""
+        return max([next_number(self.spark, folder, _WRITE), newest.number + 1])
+
+    def _key_ranges(self, table: str, made: Sequence[tuple[str, str]]) -> dict[str, list]:
+        """The least and the largest key in each folder just written; [] where all keys are NULL."""
+        if not made:
+            return {}
+        key, [partition] = RANGE_KEYS[table], self.part_columns(table)
+        found = self._folders(table, [f for _, f in made]).groupBy(partition).agg(F.min(key), F.max(key)).collect()
+        by_name = {self.part_name(table, r[0]): [] if r[1] is None else [r[1], r[2]] for r in found}  # one row a month
+        return {f: by_name[name] for name, f in made if name in by_name}
 
     def replace_stage(self, table: str, df: DataFrame) -> None:
         """Truncate-and-load: this batch's rows become the whole stage table."""
@@ -97,8 +243,35 @@ class Store:
         return self._newest(f"{self.root}/stage/{table}", STAGE[table])
 
     def prune(self, keep: int = 2) -> None:
-        """Drop snapshots older than the newest ``keep``."""
-        snapshots = [self._folder(t) for t, (_, partition) in WAREHOUSE.items() if partition is None]
+        """Drop snapshots and versions older than the newest ``keep``, and the folders no kept version needs.
+
+        A table has one writer at a time: folders of writes that failed are dropped once a later write has been published.
+        """
+        snapshots = [self._folder(t) for t in TABLES if not self.part_columns(t)]
         for folder in [*snapshots, *(f"{self.root}/stage/{t}" for t in STAGE)]:
             for n in numbered(self.spark, folder, "v=")[:-keep]:
                 delete(self.spark, f"{folder}/v={n}")
+        for table in TABLES:
+            if self.part_columns(table):
+                self._prune_parts(table, keep)
+
+    def _prune_parts(self, table: str, keep: int) -> None:
+        folder = self._folder(table)
+        numbers = versions.numbers(self.spark, folder)
+        found = [v for n in numbers if (v := versions.read_record(self.spark, folder, n)) is not None]
+        if not found:
+            return
+        needed = set().union(*(v.folders() for v in found[-keep:]))
+        last = max((int(f.split("/")[0].removeprefix(_WRITE)) for f in needed if f.startswith(_WRITE)), default=0)
+        for name in list_names(self.spark, folder):
+            if name.startswith(_WRITE) and int(name.removeprefix(_WRITE)) <= last:
+                parts = [f"{name}/{part}" for part in self._parts_in(table, f"{folder}/{name}")]
+                if not any(part in needed for part in parts):
+                    delete(self.spark, f"{folder}/{name}")
+                else:
+                    for part in parts:
+                        if part not in needed:
+                            delete(self.spark, f"{folder}/{part}")
+            elif name.startswith(f"{self.part_columns(table)[0]}=") and name not in needed:
+                delete(self.spark, f"{folder}/{name}")
+        versions.drop_records(self.spark, folder, [n for n in numbers if n < found[-keep:][0].number])
