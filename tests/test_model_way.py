@@ -9,7 +9,7 @@ from batchloom.operators.control import Batch
 from batchloom.operators.merge import merge_upsert
 from batchloom.plans import pipeline, summaries
 from batchloom.plans.fixtures import BATCH_1, BATCH_2, staged
-from batchloom.schemas import PRODUCTLINES, STAGE
+from batchloom.schemas import PRODUCTLINES, STAGE, WAREHOUSE
 from batchloom.sources.files import UncommittedError, exists, scratch_path
 from batchloom.sources.store import Store
 
@@ -81,6 +81,25 @@ def test_one_active_version_per_entity(store):
         assert active.count() == active.select(key).distinct().count()
 
 
+def test_repeating_a_batch_changes_nothing(spark, sf_dir, store):
+    """Neither the last batch, although it adds to months, nor an earlier one is added twice."""
+    audit = {"dw_create_timestamp", "dw_update_timestamp", "create_timestamp", "etl_batch_no", "etl_batch_date"}
+
+    def contents():
+        tables = [t for t in WAREHOUSE if t != "batch_control_log"]
+        return {t: sorted(repr(tuple(r)) for r in store.read(t).drop(*audit).collect()) for t in tables}
+
+    before = contents()
+    sources = {t: store.read_stage(t) for t in STAGE}
+    pipeline.run_batch(store, f"{store.root}/landing", sources, BATCH_2, BATCH_2.run_at, pipeline.MODEL_WAY)
+    assert contents() == before
+    months = {t: store.version(t).number for t in WAREHOUSE if t.startswith("monthly")}
+    for table in ("customer", "product"):
+        step = getattr(pipeline.MODEL_WAY, f"{table}_months")
+        pipeline.load_monthly(store, f"monthly_{table}_summary", f"daily_{table}_summary", step, BATCH_1, adds=True)
+    assert {t: store.version(t).number for t in months} == months
+
+
 def test_history_without_active_rows(spark):
     """Every version closes and none is reopened: the old active rows must not stay."""
     store = Store(spark, scratch_path(spark, "closing"))
