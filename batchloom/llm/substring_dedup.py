@@ -1,18 +1,22 @@
-"""Removal of repeated runs of words by looking up windows among those with the same anchor.
+"""Removal of repeated runs of words by relative Lempel-Ziv parsing against blocks of the corpus.
 
-This replaces relative Lempel-Ziv parsing, a greedy parse of whole documents against every block of a reference: what is
-looked at are phrases (see ``phrases``) of at most 256 windows with one anchor, each against one block only. A block holds
-the different phrases that were dealt to one bucket, in order of their earliest occurrence, and an index from each window of
-``size`` words to the first place in the block where it stands. The block of its anchor is the only one that can hold a
-window. Windows with an earlier place are the duplicates. ``factors`` reports them as runs whose first places follow each
-other too; neither the lengths nor the boundaries of the runs, nor their places, decide anything. The duplicate spans are the
-union of these windows.
+The corpus is the reference. It is held in blocks, one for each bucket: a block has the different phrases that were dealt to it
+(see ``phrases``: runs of windows with one anchor) with their earliest places, and an index that gives, for a window of ``size``
+words, the earliest place in the block where it stands. Since equal windows have equal anchors, the block of a window's anchor is the
+only one that can hold it, so that parsing each stretch of a document against that block is parsing it against every block.
+
+The parse is greedy. Where the window at hand stands earlier in the block, a factor begins there and is extended for as long as the
+words after it follow those at that place; it is at least ``size`` words long, and its words are a duplicate span. The windows that begin
+in a factor's last ``size - 1`` words reach beyond its end, so the parse goes on with the first of them: factors overlap at their
+boundaries, and a span that was copied from several places is covered without a gap. Where no factor begins, the parse goes on with the
+next word. Factors also end where a phrase ends; the factor of the next phrase begins with the next window, and ``phrases.flagged``
+joins them in the document.
 
 A word is removed if a window that covers it also starts earlier (smaller ``doc_id``, or the same and an earlier start);
 windows are judged on the input. Words are parted by space, tab, newline, vertical tab, form feed and carriage return. Null
 texts have no words, shorter texts stay whole. A null ``doc_id`` counts as larger than all others and stays null. Rows with
-the same ``doc_id`` and the same start of a window count as the same place. An empty table gives no rows. Other columns are
-read only if they are named in ``keep``.
+the same ``doc_id`` and the same start of a window are the same place, so neither is earlier, whatever else the rows hold. An empty
+table gives no rows. Other columns are read only if they are named in ``keep``.
 """
 
 from __future__ import annotations
@@ -41,44 +45,64 @@ def word_items(table: pa.Table) -> tuple[Items, Words]:
     return items, words
 
 
-def first_places(ids: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """For the windows of ``ids`` that start at ``at``: the number of the first one with the same content."""
-    salt = 0
-    while True:
-        keys = window_hashes(mix(ids.astype(U64) + U64(salt)), size)[at]
-        _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        first = index[inverse]
-        if all(np.array_equal(ids[at + k], ids[at[first] + k]) for k in range(size)):
-            return first
-        salt += 1
-
+class Block:
+    """The phrases of a block with the index of its windows; windows are numbered phrase by phrase."""
 
-def factors(first: np.ndarray, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The factors of all phrases, in windows: start, length, first place in the reference."""
-    here = np.arange(len(first))
-    copied = first < here
-    joined = np.zeros(len(first), dtype=bool)
-    joined[1:] = copied[1:] & copied[:-1] & (first[1:] == first[:-1] + 1) & (phrase[1:] == phrase[:-1])
-    start = np.flatnonzero(copied & ~joined)
-    number = np.cumsum(copied & ~joined) - 1
-    return start, np.bincount(number[copied], minlength=len(start)), first[start]
+    def __init__(self, contents: list[bytes], windows: np.ndarray, docs: np.ndarray, starts: np.ndarray, size: int):
+        words = Words(contents)
+        ids = np.asarray(pa.array(words.flat, pa.binary()).dictionary_encode().indices).astype(np.int64)
+        self.size = size
+        self.at = expand(words.first[:-1], windows)
+        self.kind = self._kinds(ids)
+        self.end = np.repeat(np.cumsum(windows), windows)  # of each window's phrase
+        place = np.repeat(docs, windows), expand(starts, windows)
+        order = np.lexsort((place[1], place[0]))
+        moved = np.ones(len(order), dtype=np.int64)
+        moved[1:] = (place[0][order[1:]] != place[0][order[:-1]]) | (place[1][order[1:]] != place[1][order[:-1]])
+        #: Equal for equal places, smaller for earlier ones.
+        self.rank = np.empty(len(order), dtype=np.int64)
+        self.rank[order] = np.cumsum(moved)
+        #: The index: for each different window the earliest one of the block.
+        self.earliest = np.empty(int(self.kind.max(initial=-1)) + 1, dtype=np.int64)
+        self.earliest[self.kind[order[::-1]]] = order[::-1]
+
+    def _kinds(self, ids: np.ndarray) -> np.ndarray:
+        """The number of each window's content; hashes are compared word by word and salted anew if two contents share one."""
+        salt = 0
+        while True:
+            keys = window_hashes(mix(ids.astype(U64) + U64(salt)), self.size)[self.at] if len(self.at) else np.empty(0, U64)
+            _, index, kind = np.unique(keys, return_index=True, return_inverse=True)
+            same = index[kind]
+            if all(np.array_equal(ids[self.at + k], ids[self.at[same] + k]) for k in range(self.size)):
+                return kind
+            salt += 1
+
+    def factors(self) -> list[tuple[int, int, int]]:
+        """The parse: first window, number of windows and first window of the place copied from, for each factor."""
+        source = self.earliest[self.kind]
+        begins = np.flatnonzero(self.rank[source] < self.rank)  # where the index has an earlier place
+        out = []
+        i = 0
+        while i < len(begins):
+            at = int(begins[i])
+            place = int(source[at])
+            longest = int(min(self.end[at] - at, self.end[place] - place))
+            differs = np.flatnonzero(self.kind[at : at + longest] != self.kind[place : place + longest])
+            length = int(differs[0]) if len(differs) else longest
+            out.append((at, length, place))
+            i = int(np.searchsorted(begins, at + length))
+        return out
 
 
 def find_earlier(size: int):
     def find(contents, windows, docs, starts, kind, asked, asked_docs, asked_starts):
-        order = np.lexsort((starts, docs))
-        words = Words([contents[i] for i in order])
-        ids = np.asarray(pa.array(words.flat, pa.binary()).dictionary_encode().indices).astype(np.int64)
-        n = windows[order]
-        at = expand(words.first[:-1], n)
-        phrase = np.repeat(np.arange(len(order)), n)
-        begin, length, _ = factors(first_places(ids, at, size), phrase)
-        earlier = np.zeros(len(at), dtype=bool)
-        earlier[expand(begin, length)] = True
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.cumsum(n) - n
+        block = Block(contents, windows, docs, starts, size)
+        earlier = np.zeros(len(block.at), dtype=bool)
+        for first, length, _ in block.factors():
+            earlier[first : first + length] = True
+        first = np.cumsum(windows) - windows
         later = (asked_docs > docs[kind]) | (asked_starts > starts[kind])
-        return earlier[expand(place[kind], asked)] | np.repeat(later, asked)
+        return earlier[expand(first[kind], asked)] | np.repeat(later, asked)
 
     return find
 

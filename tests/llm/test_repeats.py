@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from batchloom.llm.queries import QUERIES
@@ -89,6 +90,50 @@ def test_words(spark, size, hot):
     assert got == sorted(map(repr, brute_words([(d, (t or "").encode()) for d, t in rows], size)))
 
 
+def words_of(rng, n):
+    return " ".join(f"w{rng.randrange(10_000)}" for _ in range(n))
+
+
+@pytest.mark.parametrize("order", [1, -1])
+@pytest.mark.parametrize("own", [5, None])
+def test_rows_that_share_an_id(spark, own, order):
+    """Different texts at equal places: neither is earlier, whichever row comes first; windows at other starts are judged by these."""
+    rng = random.Random(8)
+    shared = words_of(rng, 40)
+    rows = [
+        (own, f"{shared} {words_of(rng, 24)}"), (own, f"{shared} {words_of(rng, 30)}"), (own, f"{words_of(rng, 3)} {shared}"),
+        (own, f"{' '.join(shared.split()[5:30])} {words_of(rng, 9)}"), (1, words_of(rng, 50)),
+    ][::order]
+    for size in (20, 4):
+        got = sorted((r.n_words, r.n_removed, r.kept_text.encode()) for r in remove_repeated_words(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), size).collect())
+        want = sorted(w[1:] for w in brute_words([(d, t.encode()) for d, t in rows], size))
+        assert got == want and any(n for _, n, _ in got) and got[0] != got[1]
+
+
+def test_factors_are_greedy_overlap_at_boundaries_and_run_over_phrases(spark):
+    import pyarrow as pa
+
+    from batchloom.llm.phrases import cut
+    from batchloom.llm.substring_dedup import Block, word_items
+
+    rng = random.Random(4)
+    a, b = words_of(rng, 120).split(), words_of(rng, 60).split()
+    parsed = [*a[30:70], *b[10:45], *words_of(rng, 10).split(), *a[0:25]]
+    block = Block(
+        [" ".join(t).encode() for t in (a, b, parsed)], np.array([len(t) - 19 for t in (a, b, parsed)]), np.array([1, 2, 3]), np.zeros(3, dtype=np.int64), 20
+    )
+    base = len(a) - 19 + len(b) - 19
+    # 40 words of a, 35 of b, 25 of a: a factor of n words has n - 19 windows.
+    assert block.factors() == [(base, 21, 30), (base + 40, 16, len(a) - 19 + 10), (base + 85, 6, 0)]
+    # A copy of 100 words is parted into several phrases, each of which is looked up in another block, and is removed whole.
+    copy = " ".join([*words_of(rng, 30).split(), *a[10:110], *words_of(rng, 30).split()])
+    items, _ = word_items(pa.table({"doc_id": [2], "text": [copy]}))
+    first, _, _, _ = cut(items, 20, 8)
+    assert sum(30 < f < 110 for f in first.tolist()) > 1
+    got = remove_repeated_words(spark.createDataFrame([(1, " ".join(a)), (2, copy)], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_removed) for r in got} == {(1, 0), (2, 100)}
+
+
 def test_empty(spark):
     empty = frame(spark, corpus(1)).limit(0)
     assert remove_repeats(empty).count() == 0
