@@ -186,6 +186,16 @@ oracle(
        from fx_orders join fx_orderdetails using (ordernumber) group by orderdate""",
     ["fx_orders", "fx_orderdetails"],
 )
+oracle(
+    "distinct_orders_products_per_month",
+    "month:d orders products",
+    """select cast(date_trunc('month', orderdate) as date) as month, count(distinct ordernumber) as orders,
+              count(distinct productcode) as products
+       from (select ordernumber, orderdate, productcode from fx_orders_b1 join fx_orderdetails_b1 using (ordernumber)
+             union all select ordernumber, orderdate, productcode from fx_orders_b2 join fx_orderdetails_b2 using (ordernumber)) sold
+       group by all""",
+    ["fx_orders_b1", "fx_orderdetails_b1", "fx_orders_b2", "fx_orderdetails_b2"],
+)
 oracle(
     "first_payment_rank",
     "customernumber checknumber paymentdate:d amount:m rank1",

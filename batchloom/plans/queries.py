@@ -13,6 +13,7 @@ from batchloom.functions import any_flag, conform, day_before, empty_table, firs
 from batchloom.operators.branches import Measure, union_branches
 from batchloom.operators.control import Batch, close_batch, open_batch, read_control, stamp_batch
 from batchloom.operators.history import changed_keys, really_updated, scd2, scd2_close
+from batchloom.operators.distinct import count_bitmaps, count_distinct_ids, distinct_bitmaps, merge_bitmaps
 from batchloom.operators.keys import assign_keys, max_id
 from batchloom.operators.lookup import lookup
 from batchloom.operators.merge import (
@@ -285,11 +286,27 @@ def star_join_order_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distinct_orders_products_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fixture(spark, sf_dir, "fx_orders").select("ordernumber", "orderdate")
     details = fixture(spark, sf_dir, "fx_orderdetails").select("ordernumber", "productcode")
-    sold = orders.join(details, "ordernumber")
-    return sold.groupBy("orderdate").agg(
-        F.count_distinct("ordernumber").alias("orders"), F.count_distinct("productcode").alias("products")
+    products = assign_keys(fixture(spark, sf_dir, "fx_products").select("productcode"), ["productcode"], "dw_product_id")
+    sold = lookup(orders.join(details, "ordernumber"), products, "productcode", "productcode", {"dw_product_id": "dw_product_id"})
+    return count_distinct_ids(sold, ["orderdate"], {"ordernumber": "orders", "dw_product_id": "products"})
+
+
+@query
+def distinct_orders_products_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months from the bitmaps of their days: days of both batches are merged, whatever they share."""
+    products = write_scratch(
+        assign_keys(fixture(spark, sf_dir, "fx_products").select("productcode"), ["productcode"], "dw_product_id"), "products"
     )
 
+    def days(batch: str) -> DataFrame:
+        orders = fixture(spark, sf_dir, f"fx_orders_{batch}").select("ordernumber", "orderdate")
+        details = fixture(spark, sf_dir, f"fx_orderdetails_{batch}").select("ordernumber", "productcode")
+        sold = lookup(orders.join(details, "ordernumber"), products, "productcode", "productcode", {"dw_product_id": "dw_product_id"})
+        return distinct_bitmaps(sold, ["orderdate"], ["ordernumber", "dw_product_id"])
+
+    daily = days("b1").unionByName(days("b2")).withColumn("month", first_of_month("orderdate"))
+    return count_bitmaps(merge_bitmaps(daily, ["month"]), ["month"], {"ordernumber": "orders", "dw_product_id": "products"})
+
 
 @query
 def first_payment_rank(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchloom.sources.files import commit, next_number, numbered
@@ -21,7 +22,8 @@ _DIALECT = {
     "ignoreTrailingWhiteSpace": False,
 }
 _READ_DATE_FORMAT = "yyyy-MM-dd[ HH:mm:ss]"
-_ROWS_PER_FILE = 2_000_000
+_BYTES_PER_FILE = 64 << 20
+_FILE = "file"
 
 
 class LandingMissing(FileNotFoundError):
@@ -32,12 +34,38 @@ def landing_folder(root: str, table: str, batch_date: dt.date) -> str:
     return f"{root}/{table}/{batch_date}"
 
 
-def write_landing(df: DataFrame, root: str, table: str, batch_date: dt.date) -> str:
-    """Write a new attempt; earlier attempts of the same batch are never overwritten."""
+def _csv_bytes(df: DataFrame) -> Column:
+    """At least the bytes a row takes in a file, but for what date and number formats add."""
+    def width(field: T.StructField) -> Column:
+        text = F.col(field.name).cast("string")
+        quoted = F.octet_length(F.replace(text, F.lit('"'), F.lit('""'))) + 2 if isinstance(field.dataType, T.StringType) else F.octet_length(text)
+        return F.coalesce(quoted, F.lit(0)).cast("bigint") + 1
+
+    widths = [width(f) for f in df.schema.fields]
+    return sum(widths[1:], widths[0])
+
+
+def cut_by_bytes(df: DataFrame, limit: int) -> DataFrame:
+    """The rows with ``file``, which changes whenever the bytes of a task's rows pass another multiple of the limit.
+
+    The bytes are summed up along each task's rows, so a file has at most the limit and one row. Rows that come from
+    different tasks never share a file.
+    """
+    counted = df.withColumns({"__row": F.monotonically_increasing_id(), "__bytes": _csv_bytes(df)})
+    counted = counted.withColumn("__task", F.shiftright("__row", 33))  # fixed value: the low 33 bits are the row's position
+    before = Window.partitionBy("__task").orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum("__bytes").over(before), F.lit(0)) / F.lit(limit)).cast("bigint")
+    return counted.withColumn(_FILE, F.format_string("%d-%d", "__task", number)).drop("__row", "__bytes", "__task")
+
+
+def write_landing(df: DataFrame, root: str, table: str, batch_date: dt.date, limit: int = _BYTES_PER_FILE) -> str:
+    """Write a new attempt; earlier attempts of the same batch are never overwritten.
+
+    Quoted newlines make a CSV file one task on reading, so files have about ``limit`` bytes at most, however wide the rows are.
+    """
     folder = landing_folder(root, table, batch_date)
     path = f"{folder}/attempt={next_number(df.sparkSession, folder, 'attempt=')}"
-    # Quoted newlines make a CSV file one task on reading, so files are kept small.
-    df.write.options(**_DIALECT, dateFormat="yyyy-MM-dd", maxRecordsPerFile=_ROWS_PER_FILE).csv(path)
+    cut_by_bytes(df, limit).write.partitionBy(_FILE).options(**_DIALECT, dateFormat="yyyy-MM-dd").csv(path)
     commit(df.sparkSession, path)
     return path
 
@@ -47,6 +75,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.schema(schema)
         .options(**_DIALECT, dateFormat=_READ_DATE_FORMAT, multiLine=True, enforceSchema=False, mode="FAILFAST")
+        .option("recursiveFileLookup", True)  # the folders of files are no columns
         .csv(path)
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from batchloom.operators.branches import Measure, union_branches
 from batchloom.operators.control import Batch, close_batch, open_batch, read_control
 from batchloom.operators.history import scd2
+from batchloom.operators.distinct import count_bitmaps, count_distinct_ids, distinct_bitmaps, merge_bitmaps
 from batchloom.operators.keys import assign_keys
 from batchloom.operators.lookup import lookup
 from batchloom.operators.merge import (
@@ -318,3 +319,28 @@ def test_control_row_and_log_errors(spark):
     assert [(r.etl_batch_no, r.etl_batch_status, r.etl_batch_end_time.hour) for r in closed.collect()] == [(1, "C", 0)]
     with pytest.raises(ValueError):
         close_batch(closed, B1, B1.run_at)
+
+
+# --- distinct counts ---------------------------------------------------------------------------
+
+
+def test_distinct_bitmaps_count_and_merge(spark):
+    facts = spark.range(40_000).select(
+        (F.col("id") % 5).alias("g"),
+        (F.col("id") * 7 % 70_001 - 20).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 11).alias("b"),
+        F.when(F.col("id") % 5 == 1, F.lit(1)).alias("c"),
+    )
+    names = {"a": "n_a", "b": "n_b", "c": "n_c"}
+    counted = count_distinct_ids(facts, ["g"], names)
+    plain = facts.groupBy("g").agg(*[F.count_distinct(c).alias(n) for c, n in names.items()])
+    assert rows(counted, "g", *names.values()) == rows(plain, "g", *names.values())
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+    # Two tables of bitmaps with common ids, merged into coarser groups.
+    parts = [distinct_bitmaps(facts.where(w), ["g"], list(names)) for w in ("a < 30000", "a >= 10000")]
+    both = parts[0].unionByName(parts[1]).withColumn("h", F.col("g") % 2)
+    merged = count_bitmaps(merge_bitmaps(both, ["h"]), ["h"], names)
+    plain = facts.withColumn("h", F.col("g") % 2).groupBy("h").agg(*[F.count_distinct(c).alias(n) for c, n in names.items()])
+    assert rows(merged, "h", *names.values()) == rows(plain, "h", *names.values())
+    assert count_distinct_ids(facts.where("g > 9"), ["g"], names).count() == 0
+    assert tuple(count_distinct_ids(facts, [], {"b": "n"}).first()) == (11,)
