@@ -134,6 +134,11 @@ def append(target: DataFrame, new: DataFrame) -> DataFrame:
     return target.unionByName(new.select(*target.columns))
 
 
-def replace_by_key(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keyed incremental sink: target rows whose key is among the new rows give way to them."""
-    return target.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new.select(*target.columns))
+def replace_by_key(target: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Keyed incremental sink: target rows whose key is among the new rows give way to them.
+
+    Keys with a NULL match nothing unless ``null_safe`` is set.
+    """
+    given = new.select(*[F.col(k).alias(_NEW + k) for k in keys]).distinct()
+    same = reduce(and_, [target[k].eqNullSafe(given[_NEW + k]) if null_safe else target[k] == given[_NEW + k] for k in keys])
+    return target.join(given, same, "left_anti").unionByName(new.select(*target.columns))

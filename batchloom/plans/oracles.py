@@ -871,7 +871,8 @@ def _rolled(source: str, key: str, day_columns: Sequence[str], apd: str) -> str:
     return f"select cast(date_trunc('month', summary_date) as date) as start_of_the_month_date, {key}, {', '.join(parts)} from {source} group by all"
 
 
-def _monthly(name: str, key: str, day_columns: Sequence[str], days, model: bool) -> None:
+def _added(key: str, day_columns: Sequence[str], model: bool) -> tuple[list[str], str]:
+    """The columns of months ``m1`` with those of ``m2`` added, and the statement."""
     adds, apds = _month_measures(day_columns)
     replaced = ["order_count", "new_customer_apd", "new_customer_apm"] if model and key == "dw_customer_id" else []
     cols = ["start_of_the_month_date", key]
@@ -884,17 +885,22 @@ def _monthly(name: str, key: str, day_columns: Sequence[str], days, model: bool)
             both = f"a.{c} + b.{c}"
         else:
             both = f"greatest(a.{c}, b.{c})"
-        picks.append(f"case when a.{key} is null then b.{c} when b.{key} is null then a.{c} else {both} end as {c}")
+        picks.append(f"case when a.start_of_the_month_date is null then b.{c} when b.start_of_the_month_date is null then a.{c} else {both} end as {c}")
     if key == "dw_customer_id":
         cols += ["new_customer_paid_apd", "new_customer_paid_apm"]
         picks += ["0 as new_customer_paid_apd", "0 as new_customer_paid_apm"]
     cols.append("etl_batch_no")
-    picks.append(f"case when b.{key} is null then 1 else 2 end as etl_batch_no")
+    picks.append("case when b.start_of_the_month_date is null then 1 else 2 end as etl_batch_no")
+    return cols, f"select start_of_the_month_date, {key}, {', '.join(picks)} from m1 a full join m2 b using (start_of_the_month_date, {key})"
+
+
+def _monthly(name: str, key: str, day_columns: Sequence[str], days, model: bool) -> None:
+    cols, sql = _added(key, day_columns, model)
     apd = "max" if model else "sum"
     oracle(
         name,
         _kinds(cols),
-        f"select start_of_the_month_date, {key}, {', '.join(picks)} from m1 a full join m2 b using (start_of_the_month_date, {key})",
+        sql,
         _FACT_VIEWS,
         [
             _PRODUCTS_NOW,
@@ -988,3 +994,161 @@ oracle(
         _all_days(_product_days, "product_days"),
     ],
 )
+
+# --- every row of every table after both batches -----------------------------------------------
+
+_BATCH_VIEWS = [
+    "fx_offices", "fx_employees", "fx_productlines", "fx_customers", *_CUSTOMERS_12, *_ORDERS_12, *_PAYMENTS_12, *_DETAILS_12,
+    "fx_products", "fx_products_b2",
+]
+_COMMON = [
+    _OFFICES_K,
+    *_CUSTOMER_STATES,
+    *_order_states([], *_CUSTOMER_IDS),
+    *_product_states("fx_products", "fx_products_b2"),
+]
+_DETAIL_STATES = _detail_states([], ("orders_1", "orders_2"), ("products_1", "products_2"))
+_FIRST_BATCH = f"""create_timestamp as src_create_timestamp, update_timestamp as src_update_timestamp, timestamp '{_RUN1}' as dw_create_timestamp,
+    cast(null as timestamp) as dw_update_timestamp, 1 as etl_batch_no, date '{_B1}' as etl_batch_date"""
+
+
+def _as_loaded(name: str, id_col: str, keys: Sequence[str], stages: tuple[str, str], columns: Sequence[str]) -> list[tuple[str, str]]:
+    """The model way's facts: rows without a known parent are kept, known rows are left alone."""
+    return _states(name, id_col, keys, stages, [], columns, insert_only=True)
+
+
+_BATCH_STEPS = {
+    "script": [*_COMMON, *_payment_states([], *_CUSTOMER_IDS), *_DETAIL_STATES],
+    "model": [
+        *_COMMON,
+        *_payment_states([], *_CUSTOMER_IDS)[:2],
+        *_as_loaded("payments", "dw_payment_id", ["checknumber"], ("p1", "p2"), ["customernumber", "paymentdate", "amount", "dw_customer_id"]),
+        *_DETAIL_STATES[:2],
+        *_as_loaded(
+            "orderdetails", "dw_orderdetail_id", ["ordernumber", "productcode"], ("d1", "d2"),
+            ["quantityordered", "priceeach", "orderlinenumber", "dw_order_id", "dw_product_id"],
+        ),
+    ],
+}
+
+
+def _facts_of(n: int, model: bool) -> dict[str, str]:
+    """The facts as loaded after batch ``n``, under natural keys."""
+    facts = _loaded(n)
+    if model:
+        # Only lines that were loaded with their order count for customers; all of them do for products.
+        facts["pay"] = f"(select * replace (case when dw_customer_id is not null then customernumber end as customernumber) from payments_{n})"
+    return facts
+
+
+def _with_orders(facts: dict[str, str]) -> dict[str, str]:
+    return facts | {"d": f"(select * from {facts['d']} where dw_order_id is not null)"}
+
+
+def _day_steps(model: bool) -> list[tuple[str, str]]:
+    f1, f2 = _facts_of(1, model), _facts_of(2, model)
+    c1, c2 = (_with_orders(f1), _with_orders(f2)) if model else (f1, f2)
+    return [
+        ("customer_day1", _customer_days(c1, _B1, model)),
+        ("customer_day2", _customer_days(c2, _B2, model)),
+        ("product_day1", _product_days(f1, _B1, model)),
+        ("product_day2", _product_days(f2, _B2, model)),
+    ]
+
+
+def _stamped_days(kind: str) -> str:
+    return f"""select *, 1 as etl_batch_no, date '{_B1}' as etl_batch_date from {kind}_day1
+               union all by name select *, 2 as etl_batch_no, date '{_B2}' as etl_batch_date from {kind}_day2"""
+
+
+# The summaries above name customers and products by their natural keys; the warehouse by the ids they were given.
+_WITH_IDS = {
+    "customer": "select t.* replace (c.dw_customer_id as dw_customer_id) from ({sql}) t left join customers_2 c on t.dw_customer_id = c.customernumber",
+    "product": "select t.* replace (p.dw_product_id as dw_product_id) from ({sql}) t left join products_2 p on t.dw_product_id = p.productcode",
+}
+
+
+def _month_rows(kind: str, model: bool) -> tuple[str, list[tuple[str, str]]]:
+    """Month rows after both batches, and the steps they need."""
+    key, day_columns = f"dw_{kind}_id", _CUSTOMER_DAY if kind == "customer" else _PRODUCT_DAY
+    apd = "max" if model else "sum"
+    steps = [("m1", _rolled(f"{kind}_day1", key, day_columns, apd)), ("m2", _rolled(f"{kind}_day2", key, day_columns, apd))]
+    if model:  # the batch's months are added; both stamps are those of the last batch
+        run = f"case when etl_batch_no = 2 then timestamp '{_RUN2}' else timestamp '{_RUN1}' end"
+        day = f"case when etl_batch_no = 2 then date '{_B2}' else date '{_B1}' end"
+        return f"select *, {run} as dw_create_timestamp, {run} as dw_update_timestamp, {day} as etl_batch_date from ({_added(key, day_columns, True)[1]})", steps
+    # Months from the second batch's month on are worked out anew from all their days.
+    paid = "0 as new_customer_paid_apd, 0 as new_customer_paid_apm," if kind == "customer" else ""
+    all_days = f"(select * from {kind}_day1 union all by name select * from {kind}_day2)"
+    first = "(select distinct start_of_the_month_date as m, " + key + " as k from m1)"
+    late = f"start_of_the_month_date >= date '{_B2[:8]}01'"
+    sql = f"""select t.*, {paid} case when {late} then 2 else 1 end as etl_batch_no,
+                     case when {late} then date '{_B2}' else date '{_B1}' end as etl_batch_date,
+                     case when f.m is null then timestamp '{_RUN2}' else timestamp '{_RUN1}' end as dw_create_timestamp,
+                     case when {late} and f.m is not null then timestamp '{_RUN2}' end as dw_update_timestamp
+              from ({_rolled(all_days, key, day_columns, 'sum')}) t left join {first} f on t.start_of_the_month_date = f.m and t.{key} = f.k"""
+    return sql, steps
+
+
+def _versions(entity: str, key: str, tracked: str, opens: bool) -> tuple[str, list[tuple[str, str]]]:
+    steps = [(when, f"select {key}, {tracked} as tracked from {entity}_{n}") for when, n in (("was", 1), ("now", 2))]
+    created = f"case create_etl_batch_no when 1 then date '{_B1}' else date '{_B2}' end as create_etl_batch_date"
+    return f"select *, {created} from ({_history(key, tracked, _UNSAFE, opens)})", steps
+
+
+def _batch_tables(model: bool) -> dict[str, tuple[str, str, list[tuple[str, str]]]]:
+    """Table -> (shown columns, statement, further steps)."""
+    manager = "coalesce(m.dw_employee_id, 0)" if model else "m.dw_employee_id"
+    blank = "''" if model else "cast(null as varchar)"
+    out = {
+        "offices": (f"dw_office_id officecode {' '.join(_OFFICE_UPDATES)} {_AUDIT}", f"select *, {_FIRST_BATCH} from offices_k", []),
+        "employees": (
+            f"dw_employee_id employeenumber {' '.join(_EMPLOYEE_UPDATES)} dw_reporting_employee_id {_AUDIT}",
+            f"""select e.*, o.dw_office_id, {manager} as dw_reporting_employee_id, {_FIRST_BATCH.replace('create_timestamp as', 'e.create_timestamp as', 1).replace('update_timestamp as', 'e.update_timestamp as', 1)}
+                from employees_k e join offices_k o on e.officecode = o.officecode left join employees_k m on e.reportsto = m.employeenumber""",
+            [],
+        ),
+        "customers": (
+            f"dw_customer_id src_customernumber customername country salesrepemployeenumber creditlimit:m dw_sales_employee_id {_AUDIT}",
+            "select *, customernumber as src_customernumber from customers_2",
+            [],
+        ),
+        "productlines": (f"dw_product_line_id productline {_AUDIT}", f"select *, {_FIRST_BATCH} from productlines_k", []),
+        "products": (
+            f"dw_product_id src_productcode productname productline productdescription quantityinstock buyprice:m msrp:m dw_product_line_id {_AUDIT}",
+            f"select *, productcode as src_productcode, {blank} as productdescription from products_2",
+            [],
+        ),
+        "orders": (
+            f"""dw_order_id src_ordernumber orderdate:d requireddate:d shippeddate:d cancelleddate:d status comments src_customernumber
+                dw_customer_id {_AUDIT}""",
+            f"select *, ordernumber as src_ordernumber, customernumber as src_customernumber, {blank} as comments from orders_2",
+            [],
+        ),
+        "payments": (
+            f"dw_payment_id src_customernumber checknumber paymentdate:d amount:m dw_customer_id {_AUDIT}",
+            "select *, customernumber as src_customernumber from payments_2",
+            [],
+        ),
+        "orderdetails": (
+            f"""dw_orderdetail_id src_ordernumber src_productcode quantityordered priceeach:m orderlinenumber dw_order_id
+                dw_product_id {_AUDIT}""",
+            "select *, ordernumber as src_ordernumber, productcode as src_productcode from orderdetails_2",
+            [],
+        ),
+        "customer_history": (f"dw_customer_id creditlimit:m create_etl_batch_date:d {_HISTORY_COLUMNS}", *_versions("customers", "dw_customer_id", "creditlimit", True)),
+        "product_history": (f"dw_product_id msrp:m create_etl_batch_date:d {_HISTORY_COLUMNS}", *_versions("products", "dw_product_id", "msrp", not model)),
+    }
+    for kind, day_columns in (("customer", _CUSTOMER_DAY), ("product", _PRODUCT_DAY_MODEL if model else _PRODUCT_DAY)):
+        shown = f"{_kinds(day_columns)} etl_batch_no etl_batch_date:d"
+        out[f"daily_{kind}_summary"] = (shown, _WITH_IDS[kind].format(sql=_stamped_days(kind)), _day_steps(model))
+        months, steps = _month_rows(kind, model)
+        columns = _added(f"dw_{kind}_id", _CUSTOMER_DAY if kind == "customer" else _PRODUCT_DAY, model)[0]
+        shown = f"{_kinds(columns)} dw_create_timestamp:t dw_update_timestamp:t etl_batch_date:d"
+        out[f"monthly_{kind}_summary"] = (shown, _WITH_IDS[kind].format(sql=months), [*_day_steps(model), *steps])
+    return out
+
+
+for _way, _suffix in (("script", ""), ("model", "_model")):
+    for _table, (_shown, _sql, _steps) in _batch_tables(_way == "model").items():
+        oracle(f"batch_{_table}{_suffix}", _shown, _sql, _BATCH_VIEWS, [*_BATCH_STEPS[_way], *_steps])

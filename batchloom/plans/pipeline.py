@@ -176,14 +176,14 @@ def _closed_by(part: str) -> int | None:
 
 
 def load_daily(store: Store, table: str, daily: DataFrame, key: str, batch: Batch) -> None:
-    """Put the batch's days into the months they fall in; equal (day, key) rows are replaced."""
+    """Put the batch's days into the months they fall in; equal (day, key) rows are replaced, those of unknown customers, too."""
     days = summaries.finish_daily(daily, batch)
     absent = [f for f in WAREHOUSE[table][0].fields if f.name not in days.columns]  # measures of the other way
     fresh = write_scratch(days.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}), table)
     if fresh.isEmpty():
         return
     kept = store.read(table, since=batch.date)
-    store.replace_partitions(table, replace_by_key(kept, fresh, ["summary_date", key]))
+    store.replace_partitions(table, replace_by_key(kept, fresh, ["summary_date", key], null_safe=True))
 
 
 def load_monthly(store: Store, table: str, daily_table: str, step, batch: Batch, adds: bool = False) -> None:

@@ -29,11 +29,12 @@ from batchloom.operators.ranking import rank_by_day
 from batchloom.operators.rollup import MONTH, accumulate, rollup_month
 from batchloom.plans import loads, summaries
 from batchloom.plans.fixtures import BATCH_1, BATCH_2, fixture, raw, staged
-from batchloom.plans.pipeline import load_table, run_batch
+from batchloom.plans.pipeline import MODEL_WAY, SCRIPT_WAY, Way, load_table, run_batch
 from batchloom.schemas import (
     BATCH_LOG,
     CUSTOMERS,
     EMPLOYEES,
+    ENTITIES,
     MONTHLY_CUSTOMER,
     MONTHLY_PRODUCT,
     OFFICES,
@@ -845,15 +846,56 @@ def accumulate_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole batches -----------------------------------------------------------------------------
 
 
-def warehouse_after_two_batches(spark: SparkSession, sf_dir: str, root: str) -> Store:
+def warehouse_after_two_batches(spark: SparkSession, sf_dir: str, root: str, way: Way = SCRIPT_WAY) -> Store:
     """Run both batches against a new warehouse under ``root``."""
     store = Store(spark, root)
     for batch in (BATCH_1, BATCH_2):
         sources = {t: staged(spark, sf_dir, t, batch) for t in STAGE}
-        run_batch(store, f"{root}/landing", sources, batch, ended_at=batch.run_at + dt.timedelta(minutes=30))
+        run_batch(store, f"{root}/landing", sources, batch, batch.run_at + dt.timedelta(minutes=30), way)
     return store
 
 
+#: Warehouses that the queries below share, by application, input and way: each shows one table of a run of both batches.
+_RUNS: dict[tuple[str, str, str], Store] = {}
+
+
+def _after_both(spark: SparkSession, sf_dir: str, name: str, way: Way) -> Store:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _RUNS or not _RUNS[key].version("orders").parts:
+        _RUNS[key] = warehouse_after_two_batches(spark, sf_dir, scratch_path(spark, f"run-{name}"), way)
+    return _RUNS[key]
+
+
+# Columns that the inputs leave NULL in every row are left out; those that only one way fills are named apart.
+_UNFILLED = {
+    "customers": ["contactlastname", "contactfirstname", "phone", "addressline1", "addressline2", "city", "state", "postalcode"],
+    "products": ["productscale", "productvendor"],
+    "daily_customer_summary": ["create_timestamp", "summary_month"],
+    "daily_product_summary": ["create_timestamp", "summary_month"],
+}
+_ONLY_MODEL = {"daily_product_summary": ["product_amount", "cancelled_amount"]}
+
+
+def shown_columns(table: str, name: str) -> list[str]:
+    """The columns that a table's query shows."""
+    left_out = {*_UNFILLED.get(table, ()), *(_ONLY_MODEL.get(table, ()) if name == "script" else ())}
+    partition = ENTITIES[table].partition if table in ENTITIES else None
+    return [c for c in WAREHOUSE[table][0].names if c not in left_out and c != partition]
+
+
+def _batch_query(table: str, name: str, way: Way) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _after_both(spark, sf_dir, name, way).read(table).select(*shown_columns(table, name))
+
+    return run
+
+
+for _table in WAREHOUSE:
+    if _table != "batch_control_log":
+        named(f"batch_{_table}")(_batch_query(_table, "script", SCRIPT_WAY))
+        named(f"batch_{_table}_model")(_batch_query(_table, "model", MODEL_WAY))
+
+
 # A money or count column per warehouse table whose sum stands for its contents.
 _CHECKED = {
     "offices": "dw_office_id",
