@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchloom.sources.files import write_scratch
+
 
 def lookup(
     df: DataFrame, dim: DataFrame, on: str, key: str, take: Mapping[str, str], how: str = "left"
@@ -23,6 +25,26 @@ def lookup(
     return joined.drop("__key")
 
 
+def lookup_bucketed(
+    df: DataFrame, dim: DataFrame, on: str, key: str, take: Mapping[str, str], how: str = "left"
+) -> DataFrame:
+    """``lookup`` in a dimension that is stored in buckets of ``key`` and too large to move.
+
+    Only the rows found, at most one for each different key, meet ``df``. They are stored first: that join is then planned by their
+    size and, unlike one with the buckets themselves, can split a hot key.
+    """
+    found = write_scratch(matches(df, dim, on, key, take), "matches")
+    joined = df.join(found, df[on] == found["__key"], how)
+    return joined.drop("__key")
+
+
+def matches(df: DataFrame, dim: DataFrame, on: str, key: str, take: Mapping[str, str]) -> DataFrame:
+    """The dimension's rows for the different keys of ``df``, which go to the buckets; the dimension is not exchanged."""
+    wanted = df.select(F.col(on).alias("__wanted")).dropna().distinct()
+    narrow = dim.select(F.col(key).alias("__key"), *[F.col(c).alias(a) for c, a in take.items()])
+    return wanted.join(narrow, wanted["__wanted"] == narrow["__key"]).drop("__wanted")
+
+
 def link_parent(df: DataFrame, parent_on: str, key: str, id_col: str, out: str, none_value: int | None = None) -> DataFrame:
     """Self lookup for a hierarchy: ``out`` is the ``id_col`` of the row whose key is ``parent_on``."""
     columns = df.columns

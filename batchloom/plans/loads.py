@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from batchloom.functions import first_of_month
 from batchloom.operators.control import Batch
 from batchloom.operators.history import scd2, updated_in
 from batchloom.operators.keys import assign_keys_from, max_id
-from batchloom.operators.lookup import link_parent, lookup
+from batchloom.operators.lookup import link_parent, lookup, lookup_bucketed
 from batchloom.operators.merge import matched_keys, merge_update, reject_null_keys, require_unique
 from batchloom.schemas import EMPLOYEES, PAYMENTS, Entity
 from batchloom.sources.files import write_scratch
@@ -68,12 +68,18 @@ def stamp_rows(rows: DataFrame, batch: Batch) -> DataFrame:
     return rows.withColumnsRenamed(_SOURCE_STAMPS).withColumns(_batch_columns(batch))
 
 
-def resolve(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], options: LoadOptions = SCRIPT) -> DataFrame:
-    """Stage rows in warehouse column names with their foreign keys, NULL where unmatched."""
+def resolve(
+    entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], options: LoadOptions = SCRIPT, bucketed: Collection[str] = ()
+) -> DataFrame:
+    """Stage rows in warehouse column names with their foreign keys, NULL where unmatched.
+
+    ``bucketed`` names the dimensions that are stored in buckets of the key they are looked up by.
+    """
     rows = reject_null_keys(stage, entity.key)
     for ref in entity.references:
         take = {ref.take: ref.alias, **{c: c for c in ref.carry}}
-        rows = lookup(rows, dims[ref.table], ref.on, ref.key, take, "left")
+        find = lookup_bucketed if ref.table in bucketed else lookup
+        rows = find(rows, dims[ref.table], ref.on, ref.key, take, "left")
     if entity.partition and entity.partition_from:
         # Never NULL: the month also takes part in joins.
         month = F.coalesce(first_of_month(entity.partition_from), F.lit(UNDATED))
@@ -85,9 +91,11 @@ def resolve(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], opt
     return rows
 
 
-def resolved(entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], options: LoadOptions = SCRIPT) -> DataFrame:
+def resolved(
+    entity: Entity, stage: DataFrame, dims: Mapping[str, DataFrame], options: LoadOptions = SCRIPT, bucketed: Collection[str] = ()
+) -> DataFrame:
     """``resolve`` stored once for the key check, the insert and the update path."""
-    rows = write_scratch(resolve(entity, stage, dims, options), f"resolved-{entity.table}")
+    rows = write_scratch(resolve(entity, stage, dims, options, bucketed), f"resolved-{entity.table}")
     return require_unique(rows, entity.dw_key)
 
 

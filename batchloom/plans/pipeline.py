@@ -108,7 +108,8 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
     if stage.isEmpty():
         return
     dims = {ref.table: store.read(ref.table) for ref in entity.references}
-    rows = resolved(entity, stage, dims, options)
+    bucketed = [ref.table for ref in entity.references if (store.buckets(ref.table) or ("",))[0] == ref.key]
+    rows = resolved(entity, stage, dims, options, bucketed)
     last_id = store.highest_id(entity.table, entity.id_col)
     month = entity.partition
     if month is None:

@@ -300,5 +300,8 @@ RANGED: dict[str, str] = {
     "first_payments": "dw_customer_id",
 }
 
+# Snapshots that are stored in buckets of their natural key once they are large, so that looking keys up moves only the batch.
+BUCKETED: dict[str, str] = {e.table: e.dw_key[0] for e in ENTITIES.values() if not e.partition}
+
 # The key column whose least and largest value is recorded for each month of a fact table.
 RANGE_KEYS: dict[str, str] = {e.table: e.dw_key[0] for e in ENTITIES.values() if e.partition}

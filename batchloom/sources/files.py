@@ -30,6 +30,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder; 0 when it is missing."""
+    fs, p = _filesystem(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _filesystem(spark, path)
     fs.delete(p, True)

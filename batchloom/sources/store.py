@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +20,9 @@ from pyspark.sql import types as T
 
 from batchloom.functions import empty_table
 from batchloom.operators.keys import max_id
-from batchloom.schemas import RANGE_KEYS, RANGED, STAGE, STATE, WAREHOUSE
+from batchloom.schemas import BUCKETED, RANGE_KEYS, RANGED, STAGE, STATE, WAREHOUSE
 from batchloom.sources import versions
-from batchloom.sources.files import commit, commit_text, delete, list_names, next_number, numbered
+from batchloom.sources.files import commit, commit_text, delete, list_names, next_number, numbered, size_of
 from batchloom.sources.versions import Version
 
 TABLES = {**WAREHOUSE, **STATE}
@@ -31,12 +33,14 @@ _RANGES_AT_ONCE = 500
 
 
 class Store:
-    """``range_size`` ids make one part of the tables that are stored by ranges of ids."""
+    """``range_size`` ids make one part of the tables that are stored by ranges of ids; snapshots with a natural key that have grown
+    beyond ``bucket_bytes`` are stored in buckets of about that size."""
 
-    def __init__(self, spark: SparkSession, root: str, range_size: int = 1 << 20):
+    def __init__(self, spark: SparkSession, root: str, range_size: int = 1 << 20, bucket_bytes: int = 256 << 20):
         self.spark = spark
         self.root = root.rstrip("/")
         self.range_size = range_size
+        self.bucket_bytes = bucket_bytes
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/warehouse/{table}"
@@ -45,7 +49,34 @@ class Store:
         found = numbered(self.spark, folder, "v=")
         if not found:
             return empty_table(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{folder}/v={found[-1]}")
+        path = f"{folder}/v={found[-1]}"
+        buckets = self._facts_of(path).get("buckets")
+        return self.spark.read.schema(schema).parquet(path) if buckets is None else self._bucketed(path, schema, *buckets)
+
+    def _facts_of(self, path: str) -> dict[str, object]:
+        """What the writer of a snapshot recorded of it."""
+        return json.loads(commit_text(self.spark, path) or "{}")
+
+    def _bucketed(self, path: str, schema: T.StructType, key: str, number: int) -> DataFrame:
+        """A folder of bucketed files with their layout known to the planner.
+
+        Spark takes bucketing from its catalog only, so the folder is declared there for as long as it takes to resolve it.
+        """
+        name = f"batchloom_{uuid.uuid4().hex}"
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet OPTIONS (path '{place}') CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {number} BUCKETS")
+        try:
+            return self.spark.table(name).select(*schema.names)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+
+    def buckets(self, table: str) -> tuple[str, int] | None:
+        """The key and the number of buckets of a snapshot's newest version."""
+        folder = self._folder(table)
+        found = numbered(self.spark, folder, "v=") if table in BUCKETED else []
+        known = self._facts_of(f"{folder}/v={found[-1]}").get("buckets") if found else None
+        return None if known is None else (known[0], known[1])
 
     # --- parts ---------------------------------------------------------------------------------
 
@@ -136,7 +167,7 @@ class Store:
         else:
             folder = self._folder(table)
             found = numbered(self.spark, folder, "v=")
-            known = json.loads(commit_text(self.spark, f"{folder}/v={found[-1]}") or "{}").get("max_id", {}).get(id_col) if found else 0
+            known = self._facts_of(f"{folder}/v={found[-1]}").get("max_id", {}).get(id_col) if found else 0
         return max_id(self.read(table), id_col) if known is None else known
 
     def holding(self, table: str, rows: DataFrame) -> list[str]:
@@ -162,16 +193,32 @@ class Store:
 
     # --- publishing ----------------------------------------------------------------------------
 
-    def _publish(self, df: DataFrame, folder: str, facts: Mapping[str, object] | None = None) -> None:
+    def _publish(self, df: DataFrame, folder: str, facts: Mapping[str, object] | None = None, key: str | None = None) -> None:
         path = f"{folder}/v={next_number(self.spark, folder, 'v=')}"
-        df.write.parquet(path)
+        number = self._bucket_number(folder) if key is not None else 1
+        if number == 1:
+            df.write.parquet(path)
+        else:
+            # Rows that come from buckets are in them already: a task writes a file for each bucket it has rows of.
+            name = f"batchloom_{uuid.uuid4().hex}"
+            try:
+                df.write.bucketBy(number, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            facts = {**(facts or {}), "buckets": [key, number]}
         commit(self.spark, path, json.dumps(facts) if facts else "")
 
+    def _bucket_number(self, folder: str) -> int:
+        """A power of two, by the size of the newest version; 1 for small tables."""
+        found = numbered(self.spark, folder, "v=")
+        wanted = size_of(self.spark, f"{folder}/v={found[-1]}") / self.bucket_bytes if found else 0
+        return 1 if wanted <= 1 else 1 << math.ceil(math.log2(wanted))
+
     def replace(self, table: str, df: DataFrame, facts: Mapping[str, object] | None = None) -> None:
         """Publish a new snapshot; the old one stays current until the write has committed."""
         if self.part_columns(table):
             raise ValueError(f"{table} is stored in parts: use replace_partitions or append")
-        self._publish(df.select(*TABLES[table][0].names), self._folder(table), facts)
+        self._publish(df.select(*TABLES[table][0].names), self._folder(table), facts, BUCKETED.get(table))
 
     def replace_partitions(
         self,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from batchloom.operators.control import Batch
 from batchloom.operators.history import scd2, updated_in
 from batchloom.operators.keys import assign_keys_from
+from batchloom.operators.lookup import lookup, lookup_bucketed, matches
 from batchloom.plans import pipeline
 from batchloom.schemas import CUSTOMERS, ORDERS, PAYMENTS, PRODUCT_HISTORY, STAGE, WAREHOUSE, columns
 from batchloom.sources import versions
@@ -283,3 +284,52 @@ def test_every_part_column_is_declared():
     for table in WAREHOUSE:
         assert all(c == "id_range" or c in WAREHOUSE[table][0].names for c in Store.part_columns(table))
     assert columns("a int").names == ["a"]
+
+
+# --- buckets -----------------------------------------------------------------------------------
+
+
+def _customers(spark, *numbers):
+    rows = spark.createDataFrame([(n, 1000 + n, "x" * 40) for n in numbers], "dw_customer_id bigint, src_customernumber bigint, customername string")
+    return padded(rows, CUSTOMERS.schema)
+
+
+def test_large_snapshots_are_stored_in_buckets_and_looked_up_without_moving_them(spark):
+    small, large = Store(spark, scratch_path(spark, "store")), Store(spark, scratch_path(spark, "store"), bucket_bytes=3000)
+    for store in (small, large):
+        store.replace("customers", _customers(spark, *range(200)))
+        assert store.buckets("customers") is None  # its size is known from the next publish on
+        store.replace("customers", store.read("customers").unionByName(_customers(spark, 900)), {"max_id": {"dw_customer_id": 900}})
+        assert store.read("customers").count() == 201 and store.read("customers").schema == CUSTOMERS.schema
+        assert store.highest_id("customers", "dw_customer_id") == 900
+    assert small.buckets("customers") is None
+    key, number = large.buckets("customers")
+    assert key == "src_customernumber" and number >= 4 and number & (number - 1) == 0
+    assert spark.catalog.listTables() == []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.createDataFrame([(i, 1000 + i % 300 if i % 3 else 1007) for i in range(3000)] + [(-1, None)], "id bigint, customer bigint")
+        take = {"dw_customer_id": "dw_customer_id"}
+        found = lookup_bucketed(facts, large.read("customers"), "customer", "src_customernumber", take)
+        plain = lookup(facts, small.read("customers"), "customer", "src_customernumber", take)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+        text = matches(facts, large.read("customers"), "customer", "src_customernumber", take)._jdf.queryExecution().executedPlan().toString()
+        side = text[text.rindex("Sort [__key") :]  # the dimension's side is printed last
+        assert "Bucketed: true" in side and "Exchange" not in side and "Exchange" in text
+        # Loading facts and the dimension itself goes through the buckets, too, and gives the same rows.
+        for store in (small, large):
+            _staged_orders(spark, store, *[(i, 1 + i % 12, "Open") for i in range(50)])
+            stage = store.read_stage("orders").withColumn("customernumber", (1000 + F.col("ordernumber") * 5).cast(STAGE["orders"]["customernumber"].dataType))
+            store.replace_stage("orders", stage)
+            pipeline.load_table(store, ORDERS, batch(1))
+            changed = _customers(spark).sparkSession.createDataFrame([(1005, 7), (1300, 8)], "customernumber bigint, creditlimit int")
+            store.replace("employees", padded(spark.range(0), WAREHOUSE["employees"][0]))
+            store.replace_stage("customers", padded(changed, STAGE["customers"]))
+            pipeline.load_table(store, CUSTOMERS, batch(2))
+        for table in ("orders", "customers"):
+            assert sorted(map(repr, large.read(table).collect())) == sorted(map(repr, small.read(table).collect()))
+        assert large.read("orders").where("dw_customer_id is not null").count() == 40 and large.read("customers").count() == 202
+        assert large.buckets("customers")[1] >= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
