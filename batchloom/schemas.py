@@ -129,6 +129,7 @@ class Entity:
         return T.StructType(fields)
 
 
+# Fixed values from here on: keys, updated columns and new names of the eight entities.
 OFFICES = Entity(
     "offices",
     ("officecode",),
@@ -229,6 +230,7 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
+# Fixed values from here on: column lists of the histories and summaries.
 def _history(id_col: str, tracked: str) -> T.StructType:
     return columns(
         f"{id_col} bigint, {tracked} money, effective_from_date date, effective_to_date date, "

@@ -186,7 +186,8 @@ class Store:
                 bounded.append((name, min(r[0] for r in own), max(r[1] for r in own)))
         for start in range(0, len(bounded), _RANGES_AT_ONCE):
             parts = bounded[start : start + _RANGES_AT_ONCE]
-            every = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(a).alias("least"), F.lit(b).alias("most")) for n, a, b in parts])
+            kind = rows.schema[key].dataType
+            every = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(a).cast(kind).alias("least"), F.lit(b).cast(kind).alias("most")) for n, a, b in parts])
             hit = F.filter(every, lambda p: F.col(key).between(p["least"], p["most"]))
             open_ += [r[0] for r in rows.select(F.explode(F.transform(hit, lambda p: p["name"]))).distinct().collect()]
         return open_
