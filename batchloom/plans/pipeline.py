@@ -100,9 +100,9 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
     """Apply a stage table to its warehouse table.
 
     The batch is classified once: its known keys are found in one scan of the target's keys, stored, and both the insert and the
-    update read them. Of a table stored by month only the months that can hold one of the keys are scanned, and only those
-    that hold changed or new rows are rewritten; which months these are (one value per month) is all the driver learns.
-    The highest id comes from the table's record and goes back into it.
+    update read them. Of a table stored by month only the months that can hold one of the keys are scanned and only those that do
+    are rewritten, while new rows of other months are added to what is there; which months these are (one value per month)
+    is all the driver learns. The highest id comes from the table's record and goes back into it.
     """
     stage = store.read_stage(entity.table)
     if stage.isEmpty():
@@ -126,10 +126,11 @@ def load_table(store: Store, entity: Entity, batch: Batch, options: LoadOptions
         merged = update_rows(entity, rows, target, batch, options).unionByName(fresh)
         store.replace(entity.table, link_managers(merged, options.no_manager) if entity is EMPLOYEES else merged, facts)
         return
-    touched = [r[0] for r in known.select(month).union(fresh.select(month)).distinct().collect()]
-    changing = store.read(entity.table, only=[store.part_name(entity.table, m) for m in touched])
-    updated = update_rows(entity, rows, changing, batch, options)
-    store.replace_partitions(entity.table, updated.unionByName(fresh), facts=facts)
+    touched = [store.part_name(entity.table, r[0]) for r in known.select(month).distinct().collect()]
+    if touched:
+        updated = update_rows(entity, rows, store.read(entity.table, only=touched), batch, options)
+        fresh = updated.unionByName(fresh)
+    store.append(entity.table, fresh, facts, replacing=touched)
 
 
 def _months_to_scan(store: Store, entity: Entity, rows: DataFrame, options: LoadOptions) -> list[str]:

@@ -394,9 +394,12 @@ def _two_batches(
 ) -> DataFrame:
     """The published table after both batches, loaded the way ``run_batch`` loads it."""
     store = Store(spark, scratch_path(spark, f"load-{entity.table}"))
+    published: dict[str, DataFrame] = {}
     for batch in (BATCH_1, BATCH_2):
         for table, dim in dims(batch).items():
-            _publish(store, table, dim)
+            if published.get(table) is not dim:
+                _publish(store, table, dim)
+                published[table] = dim
         store.replace_stage(entity.table, staged(spark, sf_dir, entity.table, batch, split))
         load_table(store, entity, batch, options)
     return store.read(entity.table)

@@ -184,10 +184,10 @@ class Store:
                 open_.append(name)
             elif own := [r for r in own if r]:
                 bounded.append((name, min(r[0] for r in own), max(r[1] for r in own)))
+        kind = rows.schema[key].dataType.simpleString()
         for start in range(0, len(bounded), _RANGES_AT_ONCE):
-            parts = bounded[start : start + _RANGES_AT_ONCE]
-            kind = rows.schema[key].dataType
-            every = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(a).cast(kind).alias("least"), F.lit(b).cast(kind).alias("most")) for n, a, b in parts])
+            parts = [{"name": n, "least": a, "most": b} for n, a, b in bounded[start : start + _RANGES_AT_ONCE]]
+            every = F.from_json(F.lit(json.dumps(parts)), f"array<struct<name: string, least: {kind}, most: {kind}>>")
             hit = F.filter(every, lambda p: F.col(key).between(p["least"], p["most"]))
             open_ += [r[0] for r in rows.select(F.explode(F.transform(hit, lambda p: p["name"]))).distinct().collect()]
         return open_
@@ -237,9 +237,9 @@ class Store:
         """
         self._write_parts(table, df, set(also), base, batch_no, facts, keep=False)
 
-    def append(self, table: str, df: DataFrame, facts: Mapping[str, object] | None = None) -> None:
-        """Add rows to a table stored in parts."""
-        self._write_parts(table, df, set(), None, None, facts, keep=True)
+    def append(self, table: str, df: DataFrame, facts: Mapping[str, object] | None = None, replacing: Iterable[str] = ()) -> None:
+        """Add rows to a table stored in parts; the parts named by ``replacing`` give way to their rows in ``df``."""
+        self._write_parts(table, df, set(replacing), None, None, facts, keep=True)
 
     def _write_parts(self, table, df, also, base, batch_no, facts, keep) -> None:
         schema = TABLES[table][0]
