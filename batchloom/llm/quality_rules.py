@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule looks at one statistic of a whole text and may reject it. On a bounded sample the cost (seconds per text) and
-the selectivity (share of rejected texts) of each rule are measured where the tasks run, and the rules are ordered by
-rejections per second. A text meets the rules in that order and leaves at the first one that rejects it, so that a costly
+Every rule looks at one statistic of a whole text and may reject it. Each task measures the cost (seconds per text) and the
+selectivity (share of rejected texts) of each rule on a sample, the first texts it meets that pass the base rules, and orders
+the rules by rejections per second. So the table is scanned once, no sample is moved, and parts of the table that differ get
+orders of their own. A text meets the rules in that order and leaves at the first one that rejects it, so that a costly
 statistic is worked out only for texts that got so far. The order changes the cost, never the verdict: a text is kept if no
 rule rejects it. The rule that is reported is the first one in declared order that rejects the text; rejected texts meet the
 rules declared before the one that stopped them for that.
@@ -53,28 +54,32 @@ RULES = (
 )
 
 
-def measure(docs: DataFrame, rules=RULES, sample_rows: int = 2000) -> dict[str, tuple[float, float]]:
-    """Cost in seconds per text and share of rejected texts of each rule, on at most ``sample_rows`` texts."""
-    names = [r.name for r in rules]
+class Sample:
+    """Seconds and rejections of each rule on the first texts that a task meets, ``limit`` at most."""
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = binaries(batch.column("text"))
-            rows = []
-            for rule in rules:
-                fresh = Texts(texts)
-                fresh.words  # noqa: B018  every text is parted into words in any case
-                started = time.perf_counter()
-                rejected = int(np.count_nonzero(rule.rejects(fresh)))
-                rows.append((rule.name, time.perf_counter() - started, rejected, len(texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["name", "s", "hit", "n"])
-
-    some = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(16)) == 0).limit(sample_rows)
-    found = some.mapInArrow(probe, "name string, s double, hit bigint, n bigint").groupBy("name").agg(
-        (F.sum("s") / F.sum("n")).alias("cost"), (F.sum("hit") / F.sum("n")).alias("share")
-    )
-    known = {r["name"]: (r["cost"], r["share"]) for r in found.collect()}
-    return {n: known.get(n, (1.0, 0.0)) for n in names}
+    def __init__(self, rules, limit: int):
+        self.rules, self.limit, self.n = rules, limit, 0
+        self.seconds = {r.name: 0.0 for r in rules}
+        self.hits = {r.name: 0 for r in rules}
+
+    @property
+    def full(self) -> bool:
+        return self.n >= self.limit
+
+    def add(self, texts: Texts) -> None:
+        some = texts.texts[: self.limit - self.n]
+        for rule in self.rules:
+            fresh = Texts(some)
+            fresh.words  # noqa: B018  every text is parted into words in any case
+            started = time.perf_counter()
+            self.hits[rule.name] += int(np.count_nonzero(rule.rejects(fresh)))
+            self.seconds[rule.name] += time.perf_counter() - started
+        self.n += len(some)
+
+    def measured(self) -> dict[str, tuple[float, float]]:
+        """Cost in seconds per text and share of rejected texts of each rule."""
+        n = max(1, self.n)
+        return {r.name: (self.seconds[r.name] / n, self.hits[r.name] / n) for r in self.rules}
 
 
 def ordered(rules, measured: dict[str, tuple[float, float]]) -> tuple[Rule, ...]:
@@ -109,16 +114,17 @@ def first_declared(texts: Texts, failed: list[str | None], rules, cascade) -> li
     return named
 
 
-def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, keep: tuple[str, ...] = ()) -> DataFrame:
+def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 200, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: base statistics, ``base_failed``, ``kept`` and the first declared rule that rejects it.
 
     Columns: doc_id, those of ``keep``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_rule.
+    Each task measures the rules on its first ``sample_rows`` texts.
     """
-    cascade = ordered(rules, measure(docs, rules, sample_rows))
     carried = ["doc_id", *[c for c in keep if c != "doc_id"]]
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample, cascade = Sample(rules, sample_rows), tuple(rules)
         for batch in batches:
             for part in pieces(batch):
                 texts = Texts(binaries(part.column("text")))
@@ -128,6 +134,9 @@ def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, keep: t
                 failed[base[1]] = BASE_RULES[1].name
                 failed[base[0]] = BASE_RULES[0].name
                 left = texts.take(~base_failed)
+                if len(left) and not sample.full:
+                    sample.add(left)
+                    cascade = ordered(rules, sample.measured())
                 failed[~base_failed] = first_declared(left, judge(left, cascade), rules, cascade)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -7,7 +7,7 @@ from itertools import permutations
 import numpy as np
 
 from batchloom.llm import quality_rules as module
-from batchloom.llm.quality_rules import RULES, judge, measure, ordered, quality_rules
+from batchloom.llm.quality_rules import RULES, Sample, judge, ordered, quality_rules
 from batchloom.llm.queries import QUERIES
 from batchloom.llm.texts import Texts
 
@@ -79,10 +79,29 @@ def test_order_is_by_rejections_per_cost(spark):
     assert [r.name for r in found] == [RULES[1].name, RULES[0].name, RULES[2].name]
 
 
-def test_measured_on_a_sample(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    found = measure(docs, RULES, 50)
-    assert set(found) == {r.name for r in RULES} and all(c > 0 and 0 <= s <= 1 for c, s in found.values())
+def test_measured_on_a_sample():
+    texts = Texts([(t or "").encode() for t in EDGES])
+    sample = Sample(RULES, len(EDGES) + 2)
+    assert set(sample.measured().values()) == {(0.0, 0.0)}
+    sample.add(texts)
+    assert sample.n == len(EDGES) and not sample.full
+    for rule in RULES:
+        cost, share = sample.measured()[rule.name]
+        assert cost > 0 and share == np.count_nonzero(rule.rejects(texts)) / len(EDGES)
+    sample.add(texts)
+    assert sample.n == len(EDGES) + 2 and sample.full
+
+
+def test_one_scan_and_nothing_moved(spark, sf_dir, capsys):
+    QUERIES["op9_quality_rules"](spark, sf_dir).explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("Location:") == 1 and "Exchange" not in plan
+
+
+def test_small_samples_give_the_same_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = [sorted(map(tuple, quality_rules(docs, sample_rows=n).collect())) for n in (0, 1, 10**6)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == docs.count()
 
 
 def test_good_documents_stay_and_bad_ones_go(spark):
