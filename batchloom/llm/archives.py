@@ -10,8 +10,10 @@ payloads of at least ``least`` bytes the one with the smallest page id stays a r
 records that refer to it and keep only the HTTP header. Records without an HTTP header become ``resource``.
 
 Files are written by Spark's text writer, a record a row with the format's own separator, gzipped, and read whole, one
-record in memory at a time; they can be on any file system that Spark knows. Which records revisit which is decided on
-(digest, page id) rows alone and brought to the files as one short list per file.
+record in memory at a time; they can be on any file system that Spark knows, and each must be below 2 GB. Which records
+revisit which is decided on stored (digest, page id) rows alone. Archives are never shuffled: the files are converted in
+groups whose lists of revisits are of a bounded size, worked out from their lengths, and each group's lists are broadcast to the
+tasks that read its files. Every archive is parsed twice, to decide and to convert, and every WARC file once.
 
 Null html is an empty payload, a null URL is written as ``-``, white space and control characters in URLs are percent-coded.
 A null page id stays null and counts as the largest; of repeated rows one is the response. An empty table gives no rows,
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchloom.llm.texts import binaries
-from batchloom.sources.files import scratch_path
+from batchloom.sources.files import scratch_path, write_scratch
 
 #: Field names of header lines by version, fixed values of the format.
 ARC_FIELDS = {
@@ -43,7 +45,7 @@ ARC_FIELDS = {
     2: ("URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"),
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-SPEED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+SPEED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 0}
 META = "path string, place bigint, record_id string, page_id bigint, payload_bytes bigint, payload_digest string, kind string"
 READ = "record_id string, record_type string, page_id bigint, payload_bytes bigint, payload_digest string, refers_to_id string"
 
@@ -165,8 +167,22 @@ def _opened(content: bytes):
     return io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)), 1 << 16) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def file_groups(paths: list[str], revisits: dict[str, int], limit: int) -> list[list[str]]:
+    """Paths in groups, none of which has more than ``limit`` revisits in all, except a file that has more by itself."""
+    groups: list[list[str]] = [[]]
+    total = 0
+    for path in sorted(paths):
+        own = revisits.get(path, 0)
+        if groups[-1] and total + own > limit:
+            groups.append([])
+            total = 0
+        groups[-1].append(path)
+        total += own
+    return groups
 
 
 def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -222,13 +238,19 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(run, META)
 
 
-def convert(spark: SparkSession, arc: str, warc: str, least: int = 100) -> None:
-    """Convert the ARC files of a folder to WARC files of another, later equal payloads as revisits."""
-    found = read_arc(spark, arc).where((F.col("payload_bytes") >= least) & (F.col("kind") == "http"))
+def convert(spark: SparkSession, arc: str, warc: str, least: int = 100, list_limit: int = 500_000) -> None:
+    """Convert the ARC files of a folder to WARC files of another, later equal payloads as revisits.
+
+    At most ``list_limit`` revisits, about 80 bytes each, are broadcast at once; files that have more together are converted in
+    several jobs, and a file that has more by itself meets its list in a shuffled join.
+    """
+    found = write_scratch(read_arc(spark, arc).where((F.col("payload_bytes") >= least) & (F.col("kind") == "http")), "arc-records")
     rank = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "record_id")
     first = found.groupBy("payload_digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = found.join(first, "payload_digest").where(F.col("record_id") != F.col("first.record_id"))
-    listed = again.groupBy("path").agg(F.collect_list(F.struct("place", F.col("first.record_id").alias("refers_to"))).alias("revisits"))
+    listed = write_scratch(again.groupBy("path").agg(F.collect_list(F.struct("place", F.col("first.record_id").alias("refers_to"))).alias("revisits")), "arc-revisits")
+    sizes = {r["path"]: r["n"] for r in listed.select("path", F.size("revisits").alias("n")).collect()}
+    names = [r["path"] for r in _files(spark, arc).select("path").collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -244,8 +266,15 @@ def convert(spark: SparkSession, arc: str, warc: str, least: int = 100) -> None:
 
         return _batches(rows(), ["value"], [pa.binary()])
 
-    files = _files(spark, arc).join(listed.hint("shuffle_hash"), "path", "left")
-    files.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.options(lineSep="\r\n\r\n", **SPEED).text(warc)
+    for i, group in enumerate(file_groups(names, sizes, list_limit)):
+        own = [p for p in group if p in sizes]
+        files = _files(spark, group or arc)
+        if sum(sizes[p] for p in own) <= list_limit:
+            files = files.join(F.broadcast(listed.where(F.col("path").isin(own))), "path", "left") if own else files.withColumn("revisits", F.lit(None))
+        else:
+            files = files.join(listed.where(F.col("path").isin(own)).hint("shuffle_hash"), "path", "left")
+        written = files.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+        written.write.mode("append" if i else "error").options(lineSep="\r\n\r\n", **SPEED).text(warc)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -282,7 +311,7 @@ def archive_pages(pages: DataFrame, least: int = 100) -> DataFrame:
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc)
     convert(spark, arc, warc, least)
-    records = read_warc(spark, warc)
+    records = write_scratch(read_warc(spark, warc), "warc-records")
     targets = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
     again = records.where("refers_to_id is not null").join(targets, "refers_to_id")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"]
