@@ -64,6 +64,18 @@ def test_query_matches_sql(spark, sf_dir):
     assert (seven.n_turns, seven.loss_chars, seven.valid) == (2, 26, True)
 
 
+def test_both_masks_agree_on_the_whole_table(spark, sf_dir):
+    """The flags of the emitted segments and those read back from the formatted text cover the same characters."""
+    chats = format_chat(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    rows = chats.select("segments", read_chat(F.col("formatted")).alias("turns")).collect()
+    assert rows
+    for r in rows:
+        assert [s.loss for s in r.segments] == [x for t in r.turns for x in (False, t.loss, False)]
+    learned = chats.select("conv_id", F.explode("segments").alias("s")).where("s.loss").select("conv_id", unescape(F.col("s.text")).alias("t"))
+    emitted = {r.conv_id: r.n for r in learned.groupBy("conv_id").agg(F.sum(F.length("t")).alias("n")).collect()}
+    assert emitted == {r.conv_id: r.loss_chars for r in digests(chats).collect() if r.conv_id in emitted}
+
+
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
     QUERIES["op3_chat_formatting"](spark, sf_dir).explain("formatted")
     plan = capsys.readouterr().out
