@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from batchloom.llm.routing import Rows, answer, ask, bucket_count, by_bucket, dump, load, with_answers
+from batchloom.llm.routing import Rows, answer, ask, by_bucket, dump, load, with_answers
 from batchloom.llm.texts import U64, mix, window_hashes, window_starts
 
 SLICE = 1 << 17
@@ -238,9 +238,8 @@ def flagged(found: Repeats, answers: dict[int, bytes], later: np.ndarray, n_item
     return np.cumsum(covered)[:-1] > 0
 
 
-def two_rounds(chunks: DataFrame, make: Callable[[pa.Table], Items], size: int, gram: int, find: Callable, hot: int = HOT) -> DataFrame:
+def two_rounds(chunks: DataFrame, make: Callable[[pa.Table], Items], size: int, gram: int, buckets: int, find: Callable, hot: int = HOT) -> DataFrame:
     """The chunks with ``answers`` (second round) and ``known`` (first round)."""
-    buckets = bucket_count(chunks)
     first = answer(ask(chunks, lambda t, _: ask_anchors(make(t), size, gram, buckets)), lambda a: answer_anchors(a, hot))
     known = with_answers(chunks, first)
     second = answer(ask(known, lambda t, a: ask_repeats(repeats(make(t), size, gram, buckets, a))), lambda a: answer_repeats(a, find))

@@ -39,14 +39,24 @@ def load(data: bytes):
     return pickle.loads(_CODEC.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), asbytes=True))
 
 
-def bucket_count(df: DataFrame) -> int:
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+#: A bucket is gathered in memory and holds the keys of at most this much stored input.
+BUCKET_BYTES = 32 << 20
 
 
-def chunk_size(df: DataFrame) -> int:
+def stored_bytes(docs: DataFrame) -> int:
+    """Size of the input as Spark's statistics give it; 0 where it is not known."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of bounded size whatever the number of shuffle partitions is, and a few for every task."""
+    return max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-stored_bytes(docs) // BUCKET_BYTES))
+
+
+def chunk_size(docs: DataFrame) -> int:
     """Bytes of text in a chunk: one MB, and more for large inputs, so that rows between chunks and buckets stay large."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(max(1 << 20, size >> 12), 32 << 20) if size < 1 << 60 else 1 << 20
+    return min(max(1 << 20, stored_bytes(docs) >> 12), 32 << 20)
 
 
 def chunked(docs: DataFrame, columns: list[str]) -> DataFrame:

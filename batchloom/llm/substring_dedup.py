@@ -112,7 +112,7 @@ def remove_repeated_words(docs: DataFrame, size: int = 20, keep: tuple[str, ...]
     gram = min(GRAM, max(1, size // 2))
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
     chunks = chunked(source, source.columns).repartition("chunk")
-    buckets = bucket_count(chunks)
+    buckets = bucket_count(docs)
     columns = ["doc_id", *[c for c in keep if c != "doc_id"]]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +136,6 @@ def remove_repeated_words(docs: DataFrame, size: int = 20, keep: tuple[str, ...]
                 own = [pa.array(items.counts), pa.array(np.diff(removed)), pa.array(parts, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([*carried, *own], [*columns, "n_words", "n_removed", "kept_text"])
 
-    asked = phrases.two_rounds(chunks, lambda t: word_items(t)[0], size, gram, find_earlier(size), hot)
+    asked = phrases.two_rounds(chunks, lambda t: word_items(t)[0], size, gram, buckets, find_earlier(size), hot)
     schema = source.select(*columns).schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     return asked.mapInArrow(apply, schema)

@@ -87,7 +87,7 @@ def remove_repeats(docs: DataFrame, size: int = 50, keep: tuple[str, ...] = (),
     gram = min(GRAM, max(1, size // 2))
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *[c for c in keep if c not in ("doc_id", "text")])
     chunks = chunked(source, source.columns).repartition("chunk")
-    buckets = bucket_count(chunks)
+    buckets = bucket_count(docs)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,6 +113,6 @@ def remove_repeats(docs: DataFrame, size: int = 50, keep: tuple[str, ...] = (),
                 yield pa.RecordBatch.from_arrays([*carried, *out, pa.array(parts, pa.binary())], [*columns, "n_bytes", "n_removed", "n_spans", "kept"])
 
     columns = ["doc_id", *[c for c in keep if c != "doc_id"]]
-    asked = phrases.two_rounds(chunks, lambda t: byte_items(t)[0], size, gram, find_earlier(size), hot)
+    asked = phrases.two_rounds(chunks, lambda t: byte_items(t)[0], size, gram, buckets, find_earlier(size), hot)
     schema = source.select(*columns).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
     return asked.mapInArrow(apply, schema)
