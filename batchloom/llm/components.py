@@ -54,14 +54,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node with an edge to a smaller one has a single edge, and none from a larger one."""
+    child, parent = F.count_if(F.col("child")), F.count_if(~F.col("child"))
+    sides = edges.select(F.col("a").alias("node"), F.lit(True).alias("child")).unionByName(edges.select(F.col("b").alias("node"), F.lit(False).alias("child")))
+    nodes = sides.groupBy("node").agg(child.alias("up"), parent.alias("down"))
+    return nodes.agg(F.count_if(F.expr("up > 1 or (up > 0 and down > 0)"))).first()[0] == 0
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Rows (node, root): the smallest node reachable from each node that has an edge, other than itself."""
+    """Rows (node, root): the smallest node reachable from each node that has an edge, other than itself.
+
+    Edges lead from larger to smaller nodes all the time, so stars are the result as soon as there is nothing else.
+    """
     now = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a != b")
     now = write_scratch(now.mapInArrow(_local, "a bigint, b bigint"), "edges")
-    seen = None
-    while True:
-        sign = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(sign) == seen or sign[0] == 0:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = tuple(sign)
+    while not _settled(now):
         now = write_scratch(_star(_star(now, True), False), "edges")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

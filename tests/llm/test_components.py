@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from batchloom.llm.components import components, forest
+from batchloom.llm.components import _settled, components, forest
 
 
 def plain(edges):
@@ -33,6 +33,21 @@ def test_distributed(spark, name):
     assert {r.node: r.root for r in components(df).collect()} == plain([e for e in edges if e[0] != e[1]])
 
 
+def test_one_row_for_each_node(spark):
+    """Stars that several tasks find each for itself, with repeated edges, are still joined."""
+    edges = [(5, 1), (6, 1), (5, 1), (1, 5), (7, 6)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    assert sorted(map(tuple, components(df).collect())) == [(5, 1), (6, 1), (7, 1)]
+
+
+@pytest.mark.parametrize(
+    "edges, stars",
+    [([], True), ([(5, 1), (6, 1), (9, 8)], True), ([(5, 1), (5, 1)], False), ([(5, 1), (5, 2)], False), ([(5, 3), (3, 1)], False)],
+)
+def test_settled(spark, edges, stars):
+    assert _settled(spark.createDataFrame(edges, "a long, b long")) is stars
+
+
 def test_none(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
