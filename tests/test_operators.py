@@ -344,3 +344,17 @@ def test_distinct_bitmaps_count_and_merge(spark):
     assert rows(merged, "h", *names.values()) == rows(plain, "h", *names.values())
     assert count_distinct_ids(facts.where("g > 9"), ["g"], names).count() == 0
     assert tuple(count_distinct_ids(facts, [], {"b": "n"}).first()) == (11,)
+
+
+def test_distinct_bitmaps_of_scattered_ids_stay_as_few_as_the_facts(spark):
+    # Every group meets ids far apart, in two columns: pairs of buckets and wide bitmaps would outgrow the facts.
+    facts = spark.range(2_000).select(
+        (F.col("id") % 4).alias("g"), (F.col("id") * 100_003).alias("a"), (F.col("id") * -70_001).alias("b")
+    )
+    bitmaps = distinct_bitmaps(facts, ["g"], ["a", "b"])
+    assert bitmaps.groupBy("counted").count().where("count <= 2000").count() == 2
+    assert bitmaps.schema["bits"].dataType.simpleString() == "bigint"
+    plan = distinct_bitmaps(facts, ["g"], ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    counted = count_bitmaps(bitmaps, ["g"], {"a": "n_a", "b": "n_b"})
+    assert rows(counted, "g", "n_a", "n_b") == [(g, 500, 500) for g in range(4)]
