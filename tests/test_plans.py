@@ -1,10 +1,12 @@
 """The shape of the plans: what is pushed down, pruned, joined and never done in one task."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from batchloom.functions import first_of_month
 from batchloom.operators.history import scd2
 from batchloom.operators.merge import new_rows
 from batchloom.operators.ranking import rank_by_day
@@ -110,3 +112,32 @@ def test_details_of_other_months_are_not_read(spark, sf_dir, threshold):
     assert metric("numFiles") < len(store.read("orderdetails").inputFiles())
     payments = store.read("payments", since=dt.date(2001, 7, 20))
     assert plan(payments).count("payment_month=2001") <= 2 and not payments.isEmpty()
+
+
+def _shuffles(df):
+    return len(re.findall("(?<!Broadcast)Exchange", plan(df)))
+
+
+def test_lines_are_grouped_and_joined_with_their_orders_after_one_exchange(no_broadcast, sf_dir):
+    assert _shuffles(fixture(no_broadcast, sf_dir, "fx_orderdetails")) == 1
+    assert _shuffles(fixture(no_broadcast, sf_dir, "fx_orderdetails_b1")) == 2  # the lines and the orders
+
+
+def test_lines_of_the_second_batch_are_chosen_before_they_are_grouped(spark, sf_dir):
+    chosen = fixture(spark, sf_dir, "fx_orderdetails_b2")
+    optimized = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("Aggregate") < optimized.index("LeftSemi")  # the semi join is below the grouping
+    whole = fixture(spark, sf_dir, "fx_orderdetails").join(fixture(spark, sf_dir, "fx_orders_b2").select("ordernumber"), "ordernumber")
+    counted = [F.count(F.lit(1)), F.sum("quantityordered"), F.sum("priceeach"), F.sum(F.hash("ordernumber", "productcode").cast("bigint"))]
+    assert chosen.agg(*counted).first() == whole.agg(*counted).first()
+
+
+def test_first_months_are_grouped_and_written_after_one_exchange(spark):
+    days = spark.range(5_000).select(
+        F.date_add(F.lit(dt.date(2020, 1, 5)), (F.col("id") % 300).cast("int")).alias("summary_date"),
+        (F.col("id") % 37).alias("dw_product_id"),
+        *[F.lit(1).cast("bigint").alias(c) for c in ("customer_apd", "cancelled_product_qty", "cancelled_order_apd")],
+        *[F.lit(1).cast("decimal(18,2)").alias(c) for c in ("product_cost_amount", "product_mrp_amount", "cancelled_cost_amount", "cancelled_mrp_amount")],
+    )
+    laid = days.repartitionByRange(first_of_month("summary_date"), "dw_product_id")
+    assert _shuffles(summaries.product_months(laid)) == 1

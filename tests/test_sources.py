@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from batchloom.plans.fixtures import BATCH_1
 from batchloom.plans.pipeline import stage_load
 from batchloom.schemas import ORDERS, PRODUCTLINES, STAGE, columns
-from batchloom.sources.files import exists, scratch_path, scratch_root, scratch_scope, write_scratch
-from batchloom.sources.landing import LandingMissing, read_csv, read_landing, write_landing
+from batchloom.sources.files import exists, list_names, scratch_path, scratch_root, scratch_scope, size_of, write_scratch
+from batchloom.sources.landing import LandingMissing, cut_by_bytes, read_csv, read_landing, write_landing
 from batchloom.sources.relational import UnslicedRead, day_slices, extract_since, key_slices, slices_of
 from batchloom.sources.store import Store
 
@@ -161,6 +161,29 @@ def test_wide_rows_give_many_files_and_come_back(spark):
     assert read_landing(spark, root, "empty", DAY, SCHEMA).count() == 0
 
 
+def test_landing_is_cut_without_a_shuffle_over_batches_and_compressed(spark):
+    root = scratch_path(spark, "landing")
+    df = spark.range(4_000, numPartitions=2).select(
+        F.col("id").cast("int").alias("id"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("text")
+    )
+    schema = columns("id int, text string")
+    assert "Exchange" not in cut_by_bytes(df, 10_000)._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # the sum goes on from batch to batch
+    try:
+        plain = write_landing(df, root, "t", DAY, limit=10_000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    files = [f for f in list_names(spark, plain) if f.startswith("file=")]
+    sizes = [size_of(spark, f"{plain}/{f}") for f in files]
+    assert 15 < len(files) < 40 and max(sizes) <= 10_000 + 200
+    packed = write_landing(df, root, "t", DAY, limit=10_000, compression="gzip")
+    assert 0 < size_of(spark, packed) < size_of(spark, plain) / 2
+    for attempt in ("first", "newest"):
+        got = read_landing(spark, root, "t", DAY, schema, attempt)
+        assert got.count() == 4_000 and got.agg(F.sum(F.length("text"))).first()[0] == sum(i % 90 for i in range(4_000))
+
+
 def test_key_slices_cover_every_key_once():
     for bounds, rows in (((5, 104, 100), 10), ((1, 3, 50), 10), ((-7, 1000, 33), 10), ((0, 0, 99), 10)):
         slices = key_slices("k", bounds, rows)
