@@ -14,7 +14,7 @@ from batchloom.plans import summaries
 from batchloom.plans.fixtures import BATCH_2, fixture
 from batchloom.plans.queries import QUERIES, _facts, warehouse_after_two_batches
 from batchloom.schemas import CUSTOMER_HISTORY
-from batchloom.sources.files import scratch_path
+from batchloom.sources.files import scratch_path, write_scratch
 from batchloom.sources.relational import extract_since
 
 
@@ -141,3 +141,22 @@ def test_first_months_are_grouped_and_written_after_one_exchange(spark):
     )
     laid = days.repartitionByRange(first_of_month("summary_date"), "dw_product_id")
     assert _shuffles(summaries.product_months(laid)) == 1
+
+
+def test_first_days_are_grouped_and_written_after_one_exchange_of_events(spark, sf_dir):
+    facts = _facts(spark, sf_dir)
+    lines = write_scratch(summaries.order_lines(facts["orders"], facts["orderdetails"], BATCH_2), "lines")
+    assert _shuffles(summaries.daily_product_summary(lines, facts["products"], BATCH_2, laid_out=True)) == 1
+    others = (facts["products"], facts["payments"], facts["customers"], BATCH_2)
+    text = plan(summaries.daily_customer_summary(lines, *others, unique=True, laid_out=True))
+    assert text.split("Union")[0].count("rangepartitioning") == 1 == text.split("Union")[0].count("Exchange")
+
+
+def test_few_orders_of_a_batch_are_sent_to_the_lines(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # below the size of the orders
+    try:
+        text = plan(fixture(spark, sf_dir, "fx_orderdetails_b2"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search("BroadcastHashJoin.*LeftSemi", text)

@@ -142,3 +142,30 @@ def test_hot_foreign_key_is_split_over_tasks(spark, tables):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("rules", [summaries.SCRIPT, summaries.MODEL], ids=["script", "model"])
+def test_days_laid_out_by_month_are_the_same(tables, joins, rules):
+    products = tables["products"].withColumn("src_productcode", F.col("dw_product_id").cast("string"))
+    details = tables["details"].withColumns(
+        {"src_ordernumber": F.col("dw_order_id"), "src_productcode": F.col("dw_product_id").cast("string")}
+    )
+    # Some lines without a product and some orders without a customer.
+    details = details.withColumn("dw_product_id", F.expr("if(dw_order_id % 11 = 3, null, dw_product_id)"))
+    orders = tables["orders"].withColumns(
+        {
+            "src_ordernumber": F.col("dw_order_id"),
+            "dw_customer_id": F.expr("if(dw_order_id % 13 = 5, null, dw_customer_id)"),
+            "cancelleddate": F.expr("if(dw_order_id % 5 = 1, date_add(orderdate, 40), null)"),
+        }
+    )
+    lines = summaries.order_lines(orders, details, BATCH, rules.natural_keys)
+    customers = (lines, products, tables["payments"], tables["customers"], BATCH, rules)
+    plain = sorted(summaries.daily_customer_summary(*customers).collect(), key=str)
+    assert sorted(summaries.daily_customer_summary(*customers, unique=True).collect(), key=str) == plain
+    assert sorted(summaries.daily_customer_summary(*customers, unique=True, laid_out=True).collect(), key=str) == plain
+    # A customer's products of a day are counted once, however many orders have them.
+    hot = next(r for r in plain if r.dw_customer_id == 0 and r.summary_date == DAY0)
+    assert hot.products_ordered_qty < 2 * hot.order_count
+    plain = sorted(summaries.daily_product_summary(lines, products, BATCH, rules).collect(), key=str)
+    assert sorted(summaries.daily_product_summary(lines, products, BATCH, rules, laid_out=True).collect(), key=str) == plain
