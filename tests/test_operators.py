@@ -11,7 +11,7 @@ from batchloom.operators.branches import Measure, union_branches
 from batchloom.operators.control import Batch, close_batch, open_batch, read_control
 from batchloom.operators.history import scd2
 from batchloom.operators.distinct import count_bitmaps, count_distinct_ids, distinct_bitmaps, merge_bitmaps
-from batchloom.operators.keys import assign_keys
+from batchloom.operators.keys import assign_keys, assign_keys_from, assign_keys_in_groups
 from batchloom.operators.lookup import lookup
 from batchloom.operators.merge import (
     DuplicateKeyError,
@@ -27,6 +27,7 @@ from batchloom.operators.ranking import rank_by_day
 from batchloom.operators.rollup import accumulate, rollup_month
 from batchloom.plans import loads, summaries
 from batchloom.schemas import BATCH_LOG, CONTROL, CUSTOMER_HISTORY, OFFICES, PRODUCTS, STAGE, columns
+from batchloom.sources.files import write_bucketed
 
 B1 = Batch(1, dt.date(2020, 1, 10), dt.datetime(2020, 1, 10, 23))
 B2 = Batch(2, dt.date(2020, 1, 20), dt.datetime(2020, 1, 20, 23))
@@ -53,6 +54,19 @@ def test_keys_of_composite_key_and_of_no_rows(spark):
     assert assign_keys(df.where("o > 9"), ["o", "p"], "dw_id").count() == 0
 
 
+def test_keys_in_groups_are_those_of_the_sorted_rows(spark):
+    n = F.col("id")
+    df = spark.range(9000).select(F.when(n % 3 == 0, F.lit(7)).otherwise(n % 1000).alias("o"), F.concat(F.lit("P"), n.cast("string")).alias("p"))
+    stored = write_bucketed(df, "lines", "o")
+    fewer = stored.where("p not like '%5'")
+    numbered, last = assign_keys_in_groups(fewer, ["o", "p"], "dw_id", 40)
+    wanted, same_last = assign_keys_from(df.where("p not like '%5'"), ["o", "p"], "dw_id", 40)
+    assert rows(numbered, "dw_id", "o", "p") == rows(wanted, "dw_id", "o", "p") and last == same_last == 40 + fewer.count()
+    none, last = assign_keys_in_groups(stored.where("o < 0"), ["o", "p"], "dw_id", 3)
+    assert none.count() == 0 and last == 3
+    assert spark.sql("show tables like 'batchloom_*'").isEmpty()
+
+
 # --- merge -------------------------------------------------------------------------------------
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from batchloom.functions import first_of_month
 from batchloom.operators.history import scd2
+from batchloom.operators.keys import assign_keys_in_groups
 from batchloom.operators.merge import new_rows
 from batchloom.operators.ranking import rank_by_day
-from batchloom.plans import summaries
-from batchloom.plans.fixtures import BATCH_2, fixture
+from batchloom.plans import loads, summaries
+from batchloom.plans.fixtures import BATCH_2, fixture, staged
 from batchloom.plans.queries import QUERIES, _facts, warehouse_after_two_batches
-from batchloom.schemas import CUSTOMER_HISTORY
-from batchloom.sources.files import scratch_path, write_scratch
+from batchloom.schemas import CUSTOMER_HISTORY, ORDERDETAILS
+from batchloom.sources.files import scratch_path, write_bucketed, write_scratch
 from batchloom.sources.relational import extract_since
 
 
@@ -132,6 +133,19 @@ def test_lines_of_the_second_batch_are_chosen_before_they_are_grouped(spark, sf_
     assert chosen.agg(*counted).first() == whole.agg(*counted).first()
 
 
+def test_lines_of_a_load_are_checked_and_numbered_where_they_are(no_broadcast, sf_dir):
+    facts = {t: fixture(no_broadcast, sf_dir, f"fx_{t}") for t in ("orders", "products")}
+    dims = {
+        "orders": facts["orders"].selectExpr("ordernumber as src_ordernumber", "ordernumber as dw_order_id", "trunc(orderdate, 'MM') as order_month"),
+        "products": facts["products"].selectExpr("productcode as src_productcode", "1L as dw_product_id"),
+    }
+    rows = loads.resolved(ORDERDETAILS, staged(no_broadcast, sf_dir, "orderdetails"), dims)
+    assert _shuffles(rows.groupBy(*ORDERDETAILS.dw_key).count()) == 0
+    numbered, last = assign_keys_in_groups(rows, ORDERDETAILS.dw_key, "id", 0)
+    assert numbered.count() == last == rows.count() > 0
+    assert _shuffles(numbered) == 1 and "rangepartitioning" not in plan(numbered)  # the orders' numbers
+
+
 def test_first_months_are_grouped_and_written_after_one_exchange(spark):
     days = spark.range(5_000).select(
         F.date_add(F.lit(dt.date(2020, 1, 5)), (F.col("id") % 300).cast("int")).alias("summary_date"),
@@ -152,6 +166,17 @@ def test_first_days_are_grouped_and_written_after_one_exchange_of_events(spark,
     assert text.split("Union")[0].count("rangepartitioning") == 1 == text.split("Union")[0].count("Exchange")
 
 
+@pytest.mark.parametrize("natural", [False, True], ids=["script", "model"])
+def test_lines_are_added_up_per_order_where_they_are(spark, sf_dir, natural):
+    facts = _facts(spark, sf_dir)
+    orders = facts["orders"].withColumns({"order_month": first_of_month("orderdate"), "src_ordernumber": F.col("dw_order_id")})
+    details = facts["orderdetails"].select("dw_order_id", "dw_product_id", F.col("dw_product_id").alias("src_productcode"), "quantityordered", "priceeach")
+    details = details.join(orders.select("dw_order_id", "order_month", "src_ordernumber"), "dw_order_id")
+    lines = write_bucketed(summaries.order_lines(orders, details, BATCH_2, natural), "lines", *summaries.line_key(natural))
+    assert not lines.isEmpty()
+    assert _shuffles(lines.groupBy("dw_order_id", "status", *summaries.line_key(natural)).count()) == 0
+
+
 def test_few_orders_of_a_batch_are_sent_to_the_lines(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # below the size of the orders
