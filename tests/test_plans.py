@@ -11,12 +11,13 @@ from batchloom.operators.history import scd2
 from batchloom.operators.keys import assign_keys_in_groups
 from batchloom.operators.merge import new_rows
 from batchloom.operators.ranking import rank_by_day
-from batchloom.plans import loads, summaries
+from batchloom.plans import loads, queries, summaries
 from batchloom.plans.fixtures import BATCH_2, fixture, staged
 from batchloom.plans.queries import QUERIES, _facts, warehouse_after_two_batches
 from batchloom.schemas import CUSTOMER_HISTORY, ORDERDETAILS
 from batchloom.sources.files import scratch_path, write_bucketed, write_scratch
 from batchloom.sources.relational import extract_since
+from batchloom.sources.versions import Version
 
 
 def plan(df):
@@ -177,6 +178,24 @@ def test_lines_are_added_up_per_order_where_they_are(spark, sf_dir, natural):
     assert _shuffles(lines.groupBy("dw_order_id", "status", *summaries.line_key(natural)).count()) == 0
 
 
+def test_only_queries_over_small_input_share_a_run(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "_RUNS", {})
+    monkeypatch.setattr(queries, "warehouse_after_two_batches", lambda spark, sf_dir, root, way: made.append(root) or _Loaded())
+    for _ in range(2):
+        queries._after_both(spark, sf_dir, "script", None)
+    assert len(made) == 1
+    monkeypatch.setattr(queries, "_SHARED_BYTES", 1000)
+    for _ in range(2):
+        queries._after_both(spark, sf_dir, "script", None)
+    assert len(set(made)) == 3
+
+
+class _Loaded:
+    def version(self, table):
+        return Version(1, {"p": ("p",)})
+
+
 def test_few_orders_of_a_batch_are_sent_to_the_lines(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")  # below the size of the orders
