@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from batchloom.functions import first_of_month
 from batchloom.operators.history import scd2
 from batchloom.operators.keys import assign_keys_in_groups
+from batchloom.operators.lookup import of_few
 from batchloom.operators.merge import new_rows
 from batchloom.operators.ranking import rank_by_day
+from batchloom.operators.rollup import days_by_month, days_of, rollup_month
 from batchloom.plans import loads, queries, summaries
 from batchloom.plans.fixtures import BATCH_2, fixture, staged
 from batchloom.plans.queries import QUERIES, _facts, warehouse_after_two_batches
@@ -204,3 +206,62 @@ def test_few_orders_of_a_batch_are_sent_to_the_lines(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert re.search("BroadcastHashJoin.*LeftSemi", text)
+
+
+def test_first_load_joins_its_lines_where_they_are(spark, sf_dir, monkeypatch):
+    """Details of a first load are neither read back from their months nor exchanged again; later batches read the table."""
+    joined, whole = [], []
+    first, later = summaries.first_order_lines, summaries.order_lines
+    monkeypatch.setattr(summaries, "first_order_lines", lambda *a: joined.append((_shuffles(first(*a)), a)) or first(*a))
+    monkeypatch.setattr(summaries, "order_lines", lambda *a: whole.append(later(*a)) or later(*a))
+    store = warehouse_after_two_batches(spark, sf_dir, scratch_path(spark, "first"))
+    [(moved, (_, _, batch, _))] = joined
+    assert moved == 0 and batch.no == 1 and len(whole) == 1
+    assert store.read("monthly_product_summary").where("etl_batch_no = 1").count() > 0
+
+
+@pytest.mark.parametrize("natural", [False, True], ids=["script", "model"])
+def test_lines_of_a_first_load_are_those_of_the_table(spark, natural):
+    day = dt.date(2001, 7, 20)
+    orders = spark.createDataFrame(
+        [(1, 11, day, 5, day, None, None, "In Process"), (2, 12, None, None, dt.date(1990, 1, 1), None, day, "Cancelled"), (3, 13, day, 6, dt.date(1990, 1, 1), None, None, "Shipped")],
+        "src_ordernumber long, dw_order_id long, order_month date, dw_customer_id long, orderdate date, shippeddate date, cancelleddate date, status string",
+    )
+    details = spark.createDataFrame(
+        [(1, 11, day, "a", 1, 2, 1.5), (1, 11, day, "b", None, 3, 2.0), (2, 12, None, "a", 1, None, 2.0), (3, 13, day, "a", 1, 1, 1.0), (4, None, None, "c", 3, 1, 1.0), (1, None, None, "d", 4, 1, 1.0)],
+        "src_ordernumber long, dw_order_id long, order_month date, src_productcode string, dw_product_id long, quantityordered int, priceeach double",
+    ).withColumn("priceeach", F.col("priceeach").cast("decimal(10,2)"))
+    rows = write_bucketed(details, "rows", "src_ordernumber")
+    got = summaries.first_order_lines(orders, rows, BATCH_2, natural)
+    plain = summaries.order_lines(orders.drop("order_month"), details.drop("order_month"), BATCH_2, natural)
+    columns = plain.columns
+    assert _shuffles(got) == 0
+    assert sorted(map(repr, got.select(columns).collect())) == sorted(map(repr, plain.collect())) and got.count() == (4 if natural else 3)
+
+
+def test_days_of_a_month_are_rolled_up_without_a_shuffle(spark):
+    days = spark.range(3_000).select(
+        F.date_add(F.lit(dt.date(2020, 1, 5)), (F.col("id") % 300).cast("int")).alias("summary_date"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 11).alias("k"),
+        F.when(F.col("id") % 11 != 4, F.col("id")).alias("n"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 7 - 3).cast("decimal(18,2)")).alias("amount"),
+        F.when(F.col("id") % 11 != 5, (F.col("id") % 2).cast("int")).alias("seen"),
+    )
+    stored = write_scratch(days_by_month(days, "k"), "days")
+    want, got = (rollup_month(d, "k", ["n", "amount", "seen"], ["seen_too"], {"f": "seen"}) for d in (days.withColumn("seen_too", F.col("seen")), write_scratch(days_by_month(days.withColumn("seen_too", F.col("seen")), "k"), "days")))
+    assert got.schema.simpleString() == want.schema.simpleString() and _shuffles(got) == 0
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    again = days_of(stored)
+    assert sorted(map(repr, again.select(days.columns).collect())) == sorted(map(repr, days.collect()))
+
+
+def test_few_keys_are_sent_to_the_rows_they_are_looked_up_in(spark):
+    rows = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    wanted = spark.createDataFrame([(3,), (3,), (None,), (200,)], "o long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = of_few(rows, "k", wanted, "o")
+        assert [tuple(r) for r in few.collect()] == [(3, 6)] and "BroadcastHashJoin" in plan(few)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
