@@ -265,3 +265,24 @@ def test_few_keys_are_sent_to_the_rows_they_are_looked_up_in(spark):
         assert [tuple(r) for r in few.collect()] == [(3, 6)] and "BroadcastHashJoin" in plan(few)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lines_are_sent_once_for_all_their_events_of_a_month(spark):
+    days = [(1, dt.date(2001, 7, 20), dt.date(2001, 7, 22)), (2, dt.date(2001, 7, 30), dt.date(2001, 8, 2)), (3, dt.date(2001, 7, 20), None), (4, None, None)]
+    lines = spark.createDataFrame(days, "k long, orderdate date, cancelleddate date")
+    kinds = {"ordered": ("orderdate", F.col("orderdate") >= dt.date(2001, 7, 16)), "cancelled": ("cancelleddate", F.col("cancelleddate").isNotNull())}
+    rows = summaries._line_months(lines, kinds, "k")
+    assert sorted(r.k for r in rows.collect()) == [1, 2, 2, 3]
+    want = summaries._events(lines, kinds, "k")
+    got = summaries._events_in_month(rows, kinds, "k").drop("__day_month")
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_first_days_and_months_come_from_one_exchange(spark, sf_dir):
+    facts = _facts(spark, sf_dir)
+    lines = write_scratch(summaries.order_lines(facts["orders"], facts["orderdetails"], BATCH_2), "lines")
+    days = summaries.daily_product_summary(lines, facts["products"], BATCH_2, laid_out=True, with_month=True)
+    assert _shuffles(days_by_month(days, "dw_product_id")) == 1
+    days = summaries.daily_customer_summary(lines, facts["products"], facts["payments"], facts["customers"], BATCH_2, unique=True, laid_out=True)
+    text = plan(days_by_month(days, "dw_customer_id"))
+    assert text.split("Union")[0].count("rangepartitioning") == 1 == text.split("Union")[0].count("Exchange")
