@@ -278,7 +278,10 @@ def test_lines_are_sent_once_for_all_their_events_of_a_month(spark):
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
 
 
-def test_first_days_and_months_come_from_one_exchange(spark, sf_dir):
+def test_first_days_and_months_come_from_one_exchange(spark, sf_dir, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     facts = _facts(spark, sf_dir)
     lines = write_scratch(summaries.order_lines(facts["orders"], facts["orderdetails"], BATCH_2), "lines")
     days = summaries.daily_product_summary(lines, facts["products"], BATCH_2, laid_out=True, with_month=True)
