@@ -1,5 +1,8 @@
 """What may be sent to every task, and so be built in the driver, goes by rows and not by the size of files."""
 
+import datetime as dt
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from batchloom.operators import lookup as lookups
 from batchloom.operators.keys import assign_keys_in_groups
 from batchloom.operators.lookup import lookup, measured
 from batchloom.operators.merge import replace_by_key
+from batchloom.operators.rollup import days_by_month, rollup_month
 from batchloom.plans import loads, summaries
 from batchloom.plans.fixtures import BATCH_2, fixture, staged
 from batchloom.plans.queries import _facts
@@ -98,3 +102,15 @@ def test_orders_of_the_first_batch_are_sent_to_lines_only_if_few(spark, sf_dir,
     monkeypatch.setattr(fixtures, "_FEW", 0)
     sorted_in = fixture(spark, sf_dir, "fx_orderdetails_b1")
     assert "BroadcastHashJoin" not in plan(sorted_in) and {tuple(r) for r in sorted_in.collect()} == rows
+
+
+def test_days_stored_by_month_are_added_up_in_one_pass(spark):
+    days = [(dt.date(2020, 1, d), 1, n, m) for d, n, m in ((1, 2, "1.50"), (2, None, "2.25"), (3, 5, None))]
+    days += [(dt.date(2020, 1, 4), 2, None, None), (dt.date(2020, 2, 1), 2, 7, "-0.01")]
+    daily = spark.createDataFrame([(*d[:3], None if d[3] is None else Decimal(d[3])) for d in days], "summary_date date, k int, n int, m decimal(18,2)")
+    rolled = rollup_month(days_by_month(daily, "k"), "k", ["n", "m"], [], {"any": "n"})
+    plain = rollup_month(daily, "k", ["n", "m"], [], {"any": "n"})
+    got = sorted(tuple(r) for r in rolled.collect())
+    assert got == sorted(tuple(r) for r in plain.collect())
+    assert (dt.date(2020, 1, 1), 2, None, None) in [r[:4] for r in got]  # a sum of no values
+    assert "filter(" not in plan(rolled) and "transform(" not in plan(rolled)  # no array is made on the way
