@@ -26,7 +26,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def no_broadcast(spark):
     """Joins as they are planned when no side is small."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
